@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-PLAN_MODULES = ["analytics"]
+PLAN_MODULES = ["analytics", "splitting"]
 
 
 def _modules():
