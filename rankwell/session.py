@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +17,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
+# Only applied when this helper starts the JVM (local runs and tests).
+LOCAL_DEFAULTS = {"spark.driver.memory": "16g"}
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
@@ -23,6 +26,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            for k, v in LOCAL_DEFAULTS.items():
+                builder = builder.config(k, v)
     for k, v in DEFAULTS.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
@@ -50,6 +56,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` as a parquet table in the shared checkpoint folder and
+    read it back.
+
+    One job (``Dataset.checkpoint`` would compute the plan twice: once for the
+    eager count and again when the RDD is written), the result survives
+    executor loss, later plans start from files, and the file sizes give AQE
+    real statistics for its join choices."""
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/rankwell-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
