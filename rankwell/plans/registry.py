@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-PLAN_MODULES = ["analytics", "splitting"]
+PLAN_MODULES = ["analytics", "splitting", "modelling"]
 
 
 def _modules():
