@@ -21,7 +21,7 @@ def clamp(c: Column, lo: float = 1.0, hi: float = 5.0) -> Column:
 
 def parse_date(c: Column, fmt: str = "dd-MMM-yyyy") -> Column:
     """Text date, NULL when it does not parse."""
-    return F.try_to_date(c, F.lit(fmt))
+    return F.try_to_date(c, fmt)
 
 
 def flag_to_bool(c: Column) -> Column:

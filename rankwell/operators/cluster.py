@@ -67,7 +67,8 @@ def _maybe_broadcast(df: DataFrame, rows: int) -> DataFrame:
 
 def _centre_sums(t: DataFrame, assign: DataFrame, ks: list[int], n_points: int) -> DataFrame:
     j = t.join(_maybe_broadcast(assign, n_points), "point_id")
-    aggs = [F.sum(F.when(F.col(_a(k)) == c, F.col("v")).otherwise(F.lit(0))).cast("bigint").alias(_s(k, c))
+    dtype = dict(t.dtypes)["v"]
+    aggs = [F.sum(F.when(F.col(_a(k)) == c, F.col("v")).otherwise(F.lit(0))).cast(dtype).alias(_s(k, c))
             for k in ks for c in range(k)]
     return j.groupBy("dim_id").agg(*aggs)
 
@@ -118,22 +119,30 @@ def _cluster_scalars(assign: DataFrame, sums: DataFrame, ks: list[int], kept: di
     return out
 
 
-def _assign_step(t: DataFrame, sums: DataFrame, norms: DataFrame, ks, scal: DataFrame) -> DataFrame:
-    """Σ_u r·S per (point, centre) as one wide partial aggregate, then stacked
-    to (point, k, j, dot), joined to the broadcast centre scalars, and the
-    nearest centre per (point, k) is min(dist·64 + j) in a pivot grouped by
-    point (the stacked rows stay in their partition, no extra shuffle)."""
+def _nearest_keys(t: DataFrame, sums: DataFrame, norms: DataFrame, ks, scal: DataFrame) -> DataFrame:
+    """(point_id, k, key) with key = quantized dist² · 64 + nearest centre.
+
+    Σ_u r·S per (point, centre) is one wide partial aggregate, stacked to
+    (point, k, j, dot), joined to the broadcast centre scalars, reduced with
+    min(key) per (point, k)."""
+    dtype = dict(t.dtypes)["v"]
     dots = (t.join(sums, "dim_id")
             .groupBy("point_id")
-            .agg(*[F.sum(F.col("v") * F.col(_s(k, c))).cast("bigint").alias(_s(k, c))
+            .agg(*[F.sum(F.col("v") * F.col(_s(k, c))).cast(dtype).alias(_s(k, c))
                    for k in ks for c in range(k)]))
     pairs = ", ".join(f"{k}, {c}, `{_s(k, c)}`" for k in ks for c in range(k))
     stacked = (dots.join(norms, "point_id")
                .selectExpr("point_id", "nrm", f"stack({sum(ks)}, {pairs}) as (k, j, dot)"))
-    keyed = (stacked.join(F.broadcast(scal), ["k", "j"])
-             .select("point_id", "k",
-                     (distance(F.col("nrm"), F.col("dot"), F.col("n"), F.col("q")) * F.lit(MAX_K) + F.col("j"))
-                     .alias("key")))
+    return (stacked.join(F.broadcast(scal), ["k", "j"])
+            .select("point_id", "k",
+                    (distance(F.col("nrm"), F.col("dot"), F.col("n"), F.col("q")) * F.lit(MAX_K) + F.col("j"))
+                    .alias("key")))
+
+
+def _assign_step(t: DataFrame, sums: DataFrame, norms: DataFrame, ks, scal: DataFrame) -> DataFrame:
+    """Nearest centre per (point, k) as a pivot grouped by point (the stacked
+    rows stay in their partition, no extra shuffle)."""
+    keyed = _nearest_keys(t, sums, norms, ks, scal)
     wide = keyed.groupBy("point_id").pivot("k", ks).agg(F.min("key"))
     return wide.select("point_id", *[F.pmod(F.col(str(k)), F.lit(MAX_K)).cast("int").alias(_a(k)) for k in ks])
 
@@ -159,9 +168,10 @@ def lloyd(cells: DataFrame, ks: list[int], max_iter: int = 300, point: str = "it
     to the checkpoint folder (cutting lineage — without it every step would
     nest the previous plans), then one aggregate compares it with the old."""
     ks = list(ks)
+    dtype = "bigint" if dict(cells.dtypes)[value] in ("tinyint", "smallint", "int", "bigint") else "double"
     t = cells.select(F.col(point).alias("point_id"), F.col(dim).alias("dim_id"),
-                     F.col(value).cast("bigint").alias("v")).persist()
-    norms = cut_lineage(t.groupBy("point_id").agg(F.sum(F.col("v") * F.col("v")).cast("bigint").alias("nrm")))
+                     F.col(value).cast(dtype).alias("v")).persist()
+    norms = cut_lineage(t.groupBy("point_id").agg(F.sum(F.col("v") * F.col("v")).cast(dtype).alias("nrm")))
     n_points = norms.count()
     assign = cut_lineage(norms.select("point_id", *[F.pmod(F.col("point_id"), F.lit(k)).cast("int").alias(_a(k))
                                                    for k in ks]))
@@ -213,10 +223,26 @@ def lloyd(cells: DataFrame, ks: list[int], max_iter: int = 300, point: str = "it
     res.sizes, res.sq = _sizes(assign, ks), _square_sums(final_sums, ks)
     res.assign, res.sums = assign, final_sums
     res.norms = norms
+    res.cells = (point, dim, value)
     t.unpersist()
     return res
 
 
+def nearest_with_distance(res: LloydResult, cells: DataFrame, k: int) -> DataFrame:
+    """(point_id, cluster, distance): Euclidean distance of every point to
+    its final centre (from the quantized squared distance)."""
+    point, dim, value = res.cells
+    dtype = dict(res.norms.dtypes)["nrm"]
+    t = cells.select(F.col(point).alias("point_id"), F.col(dim).alias("dim_id"), F.col(value).cast(dtype).alias("v"))
+    sums = res.sums.select("dim_id", *[_s(k, c) for c in range(k)])
+    scal = _cluster_scalars(res.assign.select("point_id", _a(k)), sums, [k])
+    keyed = _nearest_keys(t, sums, res.norms, [k], scal)
+    best = keyed.groupBy("point_id").agg(F.min("key").alias("key"))
+    return best.select("point_id", F.pmod("key", F.lit(MAX_K)).cast("int").alias("cluster"),
+                       F.sqrt(F.greatest(F.lit(0.0), F.floor(F.col("key") / MAX_K) / F.lit(float(10 ** DIST_DEC))))
+                       .alias("distance"))
+
+
 def wcss(res: LloydResult) -> DataFrame:
     """M2: k, iterations, WCSS = Σ_j (N_j − Q_j / n_j), cluster count per k.
 

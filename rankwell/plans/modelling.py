@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rankwell.operators import cluster, metrics, predict, splits
+from rankwell.operators import cluster, metrics, predict, recommend, splits
 from rankwell.plans import oracle_kmeans as OK
 from rankwell.plans.splitting import SEED, SQL_SPLIT, SQL_TEST, SQL_TRAIN, TEST_FRACTION
 from rankwell.session import cut_lineage
@@ -179,7 +179,40 @@ def q_best_params(spark, sf):
     return grid(spark, sf).orderBy("rmse", "k", "n").limit(1)
 
 
+def main_profile(spark, sf):
+    train, _ = split_frames(spark, sf)
+    return cluster.user_cluster_profile(train, cluster.item_clusters(kmeans(spark, sf, [K_MAIN]), K_MAIN), K_MAIN)
+
+
+def q_recommend(spark, sf):
+    """Top-10 unseen items per user from the preferred item cluster."""
+    train, _ = split_frames(spark, sf)
+    clusters = cluster.item_clusters(kmeans(spark, sf, [K_MAIN]), K_MAIN)
+    return recommend.recommend_top_n(train, clusters, main_profile(spark, sf), K_MAIN, N_MAIN)
+
+
+USER_K = 4
+
+
+def user_clusters(spark, sf):
+    key = _key(spark, sf, "uc")
+    if key not in _memo:
+        _memo[key] = cut_lineage(recommend.user_clusters(main_profile(spark, sf), K_MAIN, USER_K, MAX_ITER))
+    return _memo[key]
+
+
+def q_user_clusters(spark, sf):
+    return user_clusters(spark, sf)
+
+
+def q_cluster_distribution(spark, sf):
+    return recommend.cluster_distribution(user_clusters(spark, sf))
+
+
 QUERIES = {
+    "R5_recommend_top_n": q_recommend,
+    "M5_user_clusters": q_user_clusters,
+    "A4_cluster_distribution": q_cluster_distribution,
     "A16_utility_summary": q_utility_summary,
     "M1_item_clusters": q_item_clusters,
     "M2_wcss_sweep": q_wcss_sweep,
@@ -261,8 +294,9 @@ def _predict_sql(n: int, tag: str, fallback: str = "observed") -> list[str]:
 
 
 def _knn_ctes(k=K_MAIN, n=N_MAIN, fallback="observed", tag="m"):
-    km, assign = OK.kmeans_ctes(k, ORACLE_STEPS, tag=tag)
-    return _BASE + km + _profile_sql(k, assign, tag) + _neighbour_sql(k, n, tag) + _predict_sql(n, tag, fallback)
+    km, assign = OK.kmeans_ctes([k], ORACLE_STEPS, tag=tag)
+    return (_BASE + km + _profile_sql(k, OK.assignment_of(assign, k), tag) + _neighbour_sql(k, n, tag)
+            + _predict_sql(n, tag, fallback))
 
 
 def _q(body, ctes):
@@ -274,24 +308,20 @@ _RMSE = "round(sqrt(avg((rating - predicted) * (rating - predicted))), 6) AS rms
 
 
 def _sweep_ctes():
-    ctes, parts = [], []
-    for k in SWEEP_KS:
-        km, assign = OK.kmeans_ctes(k, ORACLE_STEPS, tag=f"s{k}")
-        wc, name = OK.wcss_sql(k, assign, tag=f"s{k}")
-        ctes += km + wc
-        parts.append(f"SELECT k, wcss FROM {name}")
-    ctes.append("sweep AS (" + " UNION ALL ".join(parts) + ")")
-    return ctes
+    km, assign = OK.kmeans_ctes(SWEEP_KS, ORACLE_STEPS, tag="s")
+    wc, name = OK.wcss_sql(assign, tag="s")
+    return km + wc + [f"sweep AS (SELECT k, wcss FROM {name})"]
 
 
 def _grid_ctes():
     ctes, parts = list(_BASE), []
     nmax = max(GRID_NS)
     means_done = False
+    km, assign = OK.kmeans_ctes(GRID_KS, ORACLE_STEPS, tag="g")
+    ctes += km
     for k in GRID_KS:
         tag = f"g{k}"
-        km, assign = OK.kmeans_ctes(k, ORACLE_STEPS, tag=tag)
-        ctes += km + _profile_sql(k, assign, tag) + _neighbour_sql(k, nmax, tag)
+        ctes += _profile_sql(k, OK.assignment_of(assign, k), tag) + _neighbour_sql(k, nmax, tag)
         for n in GRID_NS:
             pc = _predict_sql(n, tag)
             if means_done:
@@ -305,19 +335,33 @@ def _grid_ctes():
 
 _D2 = """elb AS (SELECT k, lead(wcss) OVER (ORDER BY k) - 2 * wcss + lag(wcss) OVER (ORDER BY k) AS d2 FROM sweep)"""
 
+_PREF = "pref AS (SELECT user_id, 63 - (greatest(" + ", ".join(
+    f"CAST(floor(p{c} * 1e6) AS BIGINT) * 64 + {63 - c}" for c in range(K_MAIN)) + ") % 64) AS cluster FROM profm)"
+
 ORACLE = {
+    "R5_recommend_top_n": _q(f"""
+, ist AS (SELECT t.item_id, a.cluster, avg(t.rating) AS mean, count(*) AS cnt
+          FROM train t JOIN {OK.assignment_of(f"kmm_a{ORACLE_STEPS}", K_MAIN)} a ON a.item_id = t.item_id
+          GROUP BY t.item_id, a.cluster),
+rk AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY mean DESC, cnt DESC, item_id) AS slot FROM ist),
+{_PREF},
+cand AS (SELECT p.user_id, r.item_id, r.mean, r.slot FROM pref p JOIN rk r ON r.cluster = p.cluster
+         WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.user_id = p.user_id AND t.item_id = r.item_id)),
+top AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY slot) AS rank FROM cand)
+SELECT user_id, item_id, round(mean, 6) AS predicted_rating, round(mean, 6) AS recommendation_score, rank,
+       'v1' AS model_version, 'kmeans' AS algorithm FROM top WHERE rank <= {N_MAIN}""", _knn_ctes()),
     "A16_utility_summary": _q("""
 SELECT count(DISTINCT user_id) AS n_users, count(DISTINCT item_id) AS n_items, count(*) AS n_cells,
        round((1.0 - count(*) / (count(DISTINCT user_id) * count(DISTINCT item_id))) * 100, 6) AS sparsity_pct
 FROM train""", _BASE),
-    "M1_item_clusters": _q("SELECT item_id, cluster FROM kmm_a{}".format(ORACLE_STEPS),
-                           _BASE + OK.kmeans_ctes(K_MAIN, ORACLE_STEPS, tag="m")[0]),
+    "M1_item_clusters": _q(f"SELECT item_id, cluster FROM kmm_a{ORACLE_STEPS} WHERE k = {K_MAIN}",
+                           _BASE + OK.kmeans_ctes([K_MAIN], ORACLE_STEPS, tag="m")[0]),
     "M2_wcss_sweep": _q("SELECT k, wcss FROM sweep", _BASE + _sweep_ctes()),
     "M3_elbow": _q("SELECT arg_min(k, d2) AS elbow_k FROM elb WHERE d2 IS NOT NULL",
                    _BASE + _sweep_ctes() + [_D2]),
     "M4_cluster_sizes": _q(f"""
 SELECT cluster, count(*) AS n_items, round(count(*) * 100.0 / (SELECT count(*) FROM kmm_a{ORACLE_STEPS}), 6) AS pct
-FROM kmm_a{ORACLE_STEPS} GROUP BY cluster""", _BASE + OK.kmeans_ctes(K_MAIN, ORACLE_STEPS, tag="m")[0]),
+FROM kmm_a{ORACLE_STEPS} GROUP BY cluster""", _BASE + OK.kmeans_ctes([K_MAIN], ORACLE_STEPS, tag="m")[0]),
     "A17_user_cluster_profile": _q("SELECT user_id, " + ", ".join(f"round(p{c}, 6) AS p{c}" for c in range(K_MAIN))
                                    + " FROM profm", _knn_ctes()),
     "W3_top_neighbours": _q("SELECT user_id, item_id, neighbour_id, round(sim, 9) AS sim, rating, rank FROM rankedm",

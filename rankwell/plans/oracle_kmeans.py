@@ -1,11 +1,13 @@
 """DuckDB oracle SQL for the deterministic K-Means (unrolled Lloyd steps).
 
-Generated from the same k and step count as the Spark run; each step is a
-pair of MATERIALIZED CTEs (centre sums, assignment) using the same exact
-integer sums and the same quantized-distance argmin as the engine.  Running
-more steps than needed is harmless: a stable assignment reproduces itself.
-The emptied-cluster rule is not expressed here, so a check that hits it
-would show up as a mismatch rather than pass silently.
+Generated from the same k values and step count as the Spark run; all k run
+side by side in long form (one row per (k, item) assignment), so each step is
+three MATERIALIZED CTEs whatever the number of k.  The arithmetic is the
+engine's: exact integer sums, distance = nrm − 2·dot/n + q/n², quantized as
+floor(x·1e6 + 0.5), argmin = min(dist·64 + j).  Running more steps than the
+engine needed is harmless: a stable assignment reproduces itself.  The
+emptied-cluster rule is not expressed here, so a run that hits it shows up as
+a mismatch rather than passing silently.
 """
 
 from __future__ import annotations
@@ -13,45 +15,57 @@ from __future__ import annotations
 MAX_K = 64
 
 
-def kmeans_ctes(k: int, steps: int, train: str = "train", tag: str = "") -> tuple[list[str], str]:
-    """CTE list ending in assignment ``a{tag}_{steps}`` (item_id, cluster)."""
+def kmeans_ctes(ks, steps: int, train: str = "train", tag: str = "") -> tuple[list[str], str]:
+    """CTE list ending in assignment ``km{tag}_a{steps}`` with columns (k, item_id, cluster)."""
+    ks = [ks] if isinstance(ks, int) else list(ks)
     p = f"km{tag}"
+    kv = ", ".join(f"({k})" for k in ks)
     ctes = [f"""{p}_norm AS MATERIALIZED (SELECT item_id, CAST(sum(rating * rating) AS BIGINT) AS nrm
   FROM {train} GROUP BY item_id)""",
-            f"{p}_a0 AS MATERIALIZED (SELECT item_id, CAST(item_id % {k} AS INTEGER) AS cluster FROM {p}_norm)"]
+            f"{p}_ks AS MATERIALIZED (SELECT * FROM (VALUES {kv}) v(k))",
+            f"""{p}_a0 AS MATERIALIZED (SELECT ks.k, x.item_id, CAST(x.item_id % ks.k AS INTEGER) AS cluster
+  FROM {p}_norm x CROSS JOIN {p}_ks ks)"""]
     for s in range(1, steps + 1):
         prev = f"{p}_a{s - 1}"
         ctes.append(f"""{p}_s{s} AS MATERIALIZED (
-  SELECT t.user_id, a.cluster, CAST(sum(t.rating) AS BIGINT) AS s
-  FROM {train} t JOIN {prev} a ON t.item_id = a.item_id GROUP BY t.user_id, a.cluster)""")
+  SELECT a.k, t.user_id, a.cluster, CAST(sum(t.rating) AS BIGINT) AS s
+  FROM {train} t JOIN {prev} a ON t.item_id = a.item_id GROUP BY a.k, t.user_id, a.cluster)""")
         ctes.append(f"""{p}_c{s} AS MATERIALIZED (
-  SELECT n.cluster, CAST(n.n AS DOUBLE) AS n, CAST(coalesce(q.q, 0) AS DOUBLE) AS q
-  FROM (SELECT cluster, count(*) AS n FROM {prev} GROUP BY cluster) n
-  LEFT JOIN (SELECT cluster, sum(s * s) AS q FROM {p}_s{s} GROUP BY cluster) q ON n.cluster = q.cluster)""")
+  SELECT n.k, n.cluster, CAST(n.n AS DOUBLE) AS n, CAST(coalesce(q.q, 0) AS DOUBLE) AS q
+  FROM (SELECT k, cluster, count(*) AS n FROM {prev} GROUP BY k, cluster) n
+  LEFT JOIN (SELECT k, cluster, sum(s * s) AS q FROM {p}_s{s} GROUP BY k, cluster) q
+    ON n.k = q.k AND n.cluster = q.cluster)""")
         ctes.append(f"""{p}_a{s} AS MATERIALIZED (
-  SELECT item_id, CAST(min(key) % {MAX_K} AS INTEGER) AS cluster FROM (
-    SELECT x.item_id,
+  SELECT k, item_id, CAST(min(key) % {MAX_K} AS INTEGER) AS cluster FROM (
+    SELECT c.k, x.item_id,
            CAST(floor((CAST(x.nrm AS DOUBLE) - 2.0 * CAST(coalesce(d.dot, 0) AS DOUBLE) / c.n + c.q / (c.n * c.n))
                       * 1000000.0 + 0.5) AS BIGINT) * {MAX_K} + c.cluster AS key
     FROM {p}_norm x CROSS JOIN {p}_c{s} c
-    LEFT JOIN (SELECT t.item_id, sc.cluster, CAST(sum(t.rating * sc.s) AS BIGINT) AS dot
+    LEFT JOIN (SELECT t.item_id, sc.k, sc.cluster, CAST(sum(t.rating * sc.s) AS BIGINT) AS dot
                FROM {train} t JOIN {p}_s{s} sc ON t.user_id = sc.user_id
-               GROUP BY t.item_id, sc.cluster) d ON d.item_id = x.item_id AND d.cluster = c.cluster
+               GROUP BY t.item_id, sc.k, sc.cluster) d
+      ON d.item_id = x.item_id AND d.k = c.k AND d.cluster = c.cluster
     WHERE c.n > 0) z
-  GROUP BY item_id)""")
+  GROUP BY k, item_id)""")
     return ctes, f"{p}_a{steps}"
 
 
-def wcss_sql(k: int, assign: str, train: str = "train", tag: str = "") -> tuple[list[str], str]:
-    """WCSS of an assignment: Σ_j (N_j − Q_j / n_j); returns (ctes, cte name with k, wcss)."""
+def assignment_of(assign: str, k: int) -> str:
+    """SQL expression for the (item_id, cluster) assignment of one k."""
+    return f"(SELECT item_id, cluster FROM {assign} WHERE k = {k})"
+
+
+def wcss_sql(assign: str, train: str = "train", tag: str = "") -> tuple[list[str], str]:
+    """WCSS per k of a long-form assignment: Σ_j (N_j − Q_j / n_j); CTE with (k, wcss)."""
     p = f"wc{tag}"
     ctes = [f"""{p}_j AS MATERIALIZED (
-  SELECT a.cluster, count(*) AS n, sum(x.nrm) AS nn
-  FROM {assign} a JOIN km{tag}_norm x ON a.item_id = x.item_id GROUP BY a.cluster)""",
+  SELECT a.k, a.cluster, count(*) AS n, sum(x.nrm) AS nn
+  FROM {assign} a JOIN km{tag}_norm x ON a.item_id = x.item_id GROUP BY a.k, a.cluster)""",
             f"""{p}_q AS MATERIALIZED (
-  SELECT cluster, sum(s * s) AS q FROM (
-    SELECT t.user_id, a.cluster, sum(t.rating) AS s
-    FROM {train} t JOIN {assign} a ON t.item_id = a.item_id GROUP BY t.user_id, a.cluster) GROUP BY cluster)""",
-            f"""{p} AS (SELECT {k} AS k, round(sum(CAST(j.nn AS DOUBLE) - CAST(q.q AS DOUBLE) / CAST(j.n AS DOUBLE)), 2) AS wcss
-  FROM {p}_j j JOIN {p}_q q ON j.cluster = q.cluster)"""]
+  SELECT k, cluster, sum(s * s) AS q FROM (
+    SELECT a.k, t.user_id, a.cluster, sum(t.rating) AS s
+    FROM {train} t JOIN {assign} a ON t.item_id = a.item_id GROUP BY a.k, t.user_id, a.cluster)
+  GROUP BY k, cluster)""",
+            f"""{p} AS (SELECT j.k, round(sum(CAST(j.nn AS DOUBLE) - CAST(q.q AS DOUBLE) / CAST(j.n AS DOUBLE)), 2) AS wcss
+  FROM {p}_j j JOIN {p}_q q ON j.k = q.k AND j.cluster = q.cluster GROUP BY j.k)"""]
     return ctes, p
