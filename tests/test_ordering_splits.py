@@ -21,7 +21,7 @@ def test_rank_within_matches_window(spark):
 
 
 def _ratings(spark):
-    return spark.range(0, 4000).select((F.col("id") % 97).alias("user_id"), (F.col("id") // 97).alias("item_id"),
+    return spark.range(0, 4000).select((F.col("id") % 97).alias("user_id"), F.floor(F.col("id") / 97).alias("item_id"),
                                        (F.col("id") * 13 % 5 + 1).cast("int").alias("rating"),
                                        F.col("id").cast("timestamp").cast("timestamp_ntz").alias("rated_at"))
 
