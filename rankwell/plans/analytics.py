@@ -114,8 +114,15 @@ def q_high_ratings(spark, sf):
     return r.filter("rating >= 4").select("user_id", "item_id", "rating")
 
 
+def q_read_users_ordered(spark, sf):
+    """Named columns ordered by key."""
+    _, u, _ = _data(spark, sf)
+    return u.select("user_id", "age", "gender", "occupation", "zip_code").orderBy("user_id")
+
+
 QUERIES = {
     "A3_top_items": q_top_items,
+    "S7_read_users_ordered": q_read_users_ordered,
     "A1_item_stats": q_item_stats,
     "A1_item_stats_early": q_item_stats_early,
     "A2_user_stats": q_user_stats,
@@ -171,6 +178,7 @@ FROM bins CROSS JOIN b LEFT JOIN h ON h.bin = bins.bin"""
 
 
 ORACLE = {
+    "S7_read_users_ordered": with_ctes("SELECT user_id, age, gender, occupation, zip_code FROM users ORDER BY user_id"),
     "A3_top_items": with_ctes(f"""
 SELECT r.item_id, i.title, count(*) AS total_ratings, round(avg(r.rating), 6) AS avg_rating,
        round(avg(r.rating), 2) AS avg_rating_rounded

@@ -57,3 +57,33 @@ def test_ingest_stream_first_write_wins(spark, tmp_path):
     ingest.start_ingest(spark, str(landing), table, ckpt).awaitTermination()
     got = {(r.user_id, r.item_id): r.rating for r in spark.read.parquet(table).collect()}
     assert got == {(1, 1): 5, (1, 2): 3, (2, 2): 4}
+
+
+def test_export_csv_and_model_roundtrip(spark, tmp_path):
+    from rankwell.operators import features
+    rows = [(u, i, 1 + (u * i) % 5, 20.0 + u, 1.0 if u % 2 else 0.0, float(u % 3), 1990.0 + i, 1.0 if i % 2 else 0.0)
+            for u in range(1, 30) for i in range(1, 6)]
+    df = spark.createDataFrame(rows, "user_id long, item_id long, rating int, age double, gender_enc double, "
+                                     "occupation_enc double, release_year double, g double")
+    model = features.fit_forest(df, ["g"], numTrees=3, maxDepth=3)
+    sinks.save_model(model, str(tmp_path / "forest"))
+    again = sinks.load_pipeline(str(tmp_path / "forest"))
+    a = features.predict_forest(model, df).orderBy("user_id", "item_id").collect()
+    b = features.predict_forest(again, df).orderBy("user_id", "item_id").collect()
+    assert a == b
+    imp = features.feature_importances(spark, model, ["g"], 10).collect()
+    assert abs(imp[-1].cumulative - 1.0) < 1e-9
+    sinks.export_csv(features.feature_importances(spark, model, ["g"], 10), str(tmp_path / "imp"))
+    assert spark.read.option("header", "true").csv(str(tmp_path / "imp")).count() == len(imp)
+
+
+def test_audit_columns(spark):
+    from rankwell.operators import quality
+    v1 = spark.createDataFrame([(1, "a"), (2, "b")], "user_id long, name string")
+    first = quality.audit_columns(v1).collect()
+    prev = spark.createDataFrame(first)
+    v2 = spark.createDataFrame([(1, "a"), (2, "c")], "user_id long, name string")
+    out = {r.user_id: r for r in quality.audit_columns(v2, prev, ["user_id"]).collect()}
+    old = {r.user_id: r for r in first}
+    assert out[1].updated_at == old[1].updated_at and out[1].created_at == old[1].created_at
+    assert out[2].updated_at >= old[2].updated_at and out[2].created_at == old[2].created_at
