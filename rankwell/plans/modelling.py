@@ -25,7 +25,11 @@ _memo: dict = {}
 
 
 def _key(spark, sf, *rest):
-    return (id(spark), spark.sparkContext.applicationId, sf) + rest
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001
+        app = None
+    return (id(spark), app, sf) + rest
 
 
 def split_frames(spark, sf):

@@ -36,7 +36,10 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # noqa: BLE001
+        pass
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -44,15 +47,24 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's shared ``spark.checkpoint.dir``; only when it is unset
     (local tests) fall back to a fresh scratch folder."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="rankwell-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir()
+        try:
+            spark.conf.set("spark.checkpoint.dir", configured)
+        except Exception:  # noqa: BLE001 - core conf, may be read-only
+            pass
+    if sc is not None:
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir()
+    return configured
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
