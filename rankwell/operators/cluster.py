@@ -101,7 +101,6 @@ def _cluster_scalars(assign: DataFrame, sums: DataFrame, ks: list[int], kept: di
     Σk rows at most (≤ 64 per k), so broadcasting it is size-bounded by
     construction.  A centre kept from an earlier step (emptied cluster) gets
     its old (n, q)."""
-    spark = assign.sparkSession
     n = assign.agg(*[F.count_if(F.col(_a(k)) == c).cast("double").alias(_s(k, c)) for k in ks for c in range(k)])
     q = sums.agg(*[F.sum(F.col(_s(k, c)) * F.col(_s(k, c))).cast("double").alias(_s(k, c))
                    for k in ks for c in range(k)])
@@ -115,7 +114,6 @@ def _cluster_scalars(assign: DataFrame, sums: DataFrame, ks: list[int], kept: di
         hit = (F.col("k") == k) & (F.col("j") == c)
         out = out.select("k", "j", F.when(hit, F.lit(float(on))).otherwise(F.col("n")).alias("n"),
                          F.when(hit, F.lit(float(oq))).otherwise(F.col("q")).alias("q"))
-    del spark
     return out
 
 

@@ -6,10 +6,11 @@ single partial aggregate or a global top-K, never a collect.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankwell.functions.columns import improvement_pct
+from rankwell.operators.ordering import exact_percentile
 
 
 def error_columns(pred: DataFrame) -> DataFrame:
@@ -26,14 +27,15 @@ def rmse_mae(pred: DataFrame) -> DataFrame:
                     F.round(F.avg(F.abs(e)), 6).alias("mae"))
 
 
-def error_summary(pred: DataFrame) -> DataFrame:
+def error_summary(pred: DataFrame, keys: list[str] = ("user_id", "item_id")) -> DataFrame:
     """Mean error, population std of the error, median and p90 of the
-    absolute error (linear interpolation, exact percentiles)."""
+    absolute error (linear interpolation, exact rank-based percentiles)."""
     p = error_columns(pred)
+    med = exact_percentile(p, "abs_error", 0.5, list(keys))
+    p90 = exact_percentile(p, "abs_error", 0.9, list(keys))
     return p.agg(F.round(F.avg("error"), 6).alias("mean_error"),
-                 F.round(F.stddev_pop("error"), 6).alias("std_error"),
-                 F.round(F.percentile("abs_error", F.lit(0.5)), 6).alias("median_abs_error"),
-                 F.round(F.percentile("abs_error", F.lit(0.9)), 6).alias("p90_abs_error"))
+                 F.round(F.stddev_pop("error"), 6).alias("std_error")).select(
+        "mean_error", "std_error", F.round(med, 6).alias("median_abs_error"), F.round(p90, 6).alias("p90_abs_error"))
 
 
 def error_bands(pred: DataFrame) -> DataFrame:
@@ -62,8 +64,7 @@ def ranking_metrics(pred: DataFrame, ks=(5, 10, 20), threshold: float = 4.0) ->
     top = pred.orderBy(F.desc("predicted"), F.asc("user_id"), F.asc("item_id")).limit(kmax)
     top = top.select("predicted", "rating", "user_id", "item_id")
     total_rel = pred.agg(F.count_if(F.col("rating") >= threshold)).scalar()
-    spark = pred.sparkSession
-    from pyspark.sql import Window
+    # Window over the ≤ max(K) rows of the top-K only.
     ranked = top.withColumn("pos", F.row_number().over(
         Window.orderBy(F.desc("predicted"), F.asc("user_id"), F.asc("item_id"))))
     rows = None
@@ -73,7 +74,6 @@ def ranking_metrics(pred: DataFrame, ks=(5, 10, 20), threshold: float = 4.0) ->
                          F.round(F.when(total_rel > 0, F.col("h") / total_rel).otherwise(F.lit(0.0)), 6)
                          .alias("recall_at_k"))
         rows = row if rows is None else rows.unionByName(row)
-    del spark
     return rows
 
 

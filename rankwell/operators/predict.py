@@ -35,6 +35,8 @@ from rankwell.functions.columns import clamp
 TILE = 2048
 SIM_SCALE = 1e9
 NB_FACTOR = 4
+# Target rows (queries + raters) per hash bucket of small items.
+GROUP_ROWS = 200_000
 
 
 def quantize_sim(x):
@@ -108,8 +110,14 @@ def top_neighbours(pairs: DataFrame, train: DataFrame, unit: DataFrame, k: int,
     tiles = (r.groupBy("item_id").agg(F.count(F.lit(1)).alias("nr"))
              .join(q.groupBy("item_id").agg(F.count(F.lit(1)).alias("nq")), "item_id")
              .select("item_id", F.ceil(F.col("nq") / tile).cast("int").alias("A"),
-                     F.ceil(F.col("nr") / tile).cast("int").alias("B")))
-    nb = int(spark.conf.get("spark.sql.shuffle.partitions", "200")) * NB_FACTOR
+                     F.ceil(F.col("nr") / tile).cast("int").alias("B"),
+                     (F.col("nq") * F.ceil(F.col("nr") / tile)).alias("nq_rows"),
+                     (F.col("nr") * F.ceil(F.col("nq") / tile)).alias("nr_rows")))
+    # Enough buckets that a bucket of small items stays around GROUP_ROWS rows
+    # whatever the data size (one scalar: the total number of rows to tile).
+    total = tiles.agg(F.sum(F.col("nq_rows") + F.col("nr_rows"))).first()[0] or 0
+    nb = max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")) * NB_FACTOR, -(-int(total) // GROUP_ROWS))
+    tiles = tiles.drop("nq_rows", "nr_rows")
     bucket = F.pmod(F.xxhash64("item_id"), F.lit(nb)).cast("int")
     qt = (q.join(tiles, "item_id")
           .select("user_id", "item_id", *zcols, bucket.alias("bucket"),
