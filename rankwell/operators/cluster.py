@@ -30,9 +30,10 @@ Ties in the argmin go to the lowest cluster index after rounding distances to
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from rankwell.session import cut_lineage
@@ -162,9 +163,10 @@ def lloyd(cells: DataFrame, ks: list[int], max_iter: int = 300, point: str = "it
     assignment stops changing (or ``max_iter`` steps).
 
     Per step the driver sees only O(Σk) numbers (cluster sizes and the number
-    of changed assignments).  Two jobs per step: the new assignment is written
-    to the checkpoint folder (cutting lineage — without it every step would
-    nest the previous plans), then one aggregate compares it with the old."""
+    of changed assignments).  Per step: the centre scalars (a small subquery
+    job over the cached sums), then one job writes the new assignment to the
+    checkpoint folder (cutting lineage — without it every step would nest the
+    previous plans) while an Observation counts changes and cluster sizes."""
     ks = list(ks)
     dtype = "bigint" if dict(cells.dtypes)[value] in ("tinyint", "smallint", "int", "bigint") else "double"
     t = cells.select(F.col(point).alias("point_id"), F.col(dim).alias("dim_id"),
@@ -188,11 +190,15 @@ def lloyd(cells: DataFrame, ks: list[int], max_iter: int = 300, point: str = "it
                             for k in ks for c in range(k)])
         sums = sums.persist()
         scal = _cluster_scalars(assign, sums, ks, kept)
-        new_assign = cut_lineage(_assign_step(t, sums, norms, ks, scal))
-        stat = (new_assign.alias("n").join(assign.alias("o"), "point_id")
-                .agg(*[F.count_if(F.col(f"n.{_a(k)}") != F.col(f"o.{_a(k)}")).alias("ch" + _a(k)) for k in ks],
-                     *[F.count_if(F.col(f"n.{_a(k)}") == c).alias(_s(k, c)) for k in ks for c in range(k)])
-                .first())
+        # The change count and the new cluster sizes are observed while the
+        # new assignment is written (no separate job per step).
+        old = assign.select("point_id", *[F.col(_a(k)).alias("o" + _a(k)) for k in ks])
+        obs = Observation(f"lloyd_{uuid.uuid4().hex[:12]}_{step}")
+        stepped = (_assign_step(t, sums, norms, ks, scal).join(_maybe_broadcast(old, n_points), "point_id")
+                   .observe(obs, *[F.count_if(F.col(_a(k)) != F.col("o" + _a(k))).alias("ch" + _a(k)) for k in ks],
+                            *[F.count_if(F.col(_a(k)) == c).alias(_s(k, c)) for k in ks for c in range(k)]))
+        new_assign = cut_lineage(stepped.select("point_id", *[_a(k) for k in ks]))
+        stat = obs.get
         new_sizes = {(k, c): int(stat[_s(k, c)]) for k in ks for c in range(k)}
         emptied = {kc for kc, n in new_sizes.items() if n == 0}
         if emptied:
