@@ -81,6 +81,13 @@ def q_utility_summary(spark, sf):
     return cluster.utility_summary(train)
 
 
+def q_item_vectors(spark, sf):
+    """The transposed utility matrix in long form — items as rows."""
+    train, _ = split_frames(spark, sf)
+    return train.select(F.col("item_id").alias("row_id"), F.col("user_id").alias("col_id"),
+                        F.col("rating").alias("value"))
+
+
 def q_item_clusters(spark, sf):
     return cluster.item_clusters(kmeans(spark, sf, [K_MAIN]), K_MAIN)
 
@@ -218,6 +225,7 @@ QUERIES = {
     "M5_user_clusters": q_user_clusters,
     "A4_cluster_distribution": q_cluster_distribution,
     "A16_utility_summary": q_utility_summary,
+    "A18_item_vectors": q_item_vectors,
     "M1_item_clusters": q_item_clusters,
     "M2_wcss_sweep": q_wcss_sweep,
     "M3_elbow": q_elbow,
@@ -358,6 +366,7 @@ SELECT user_id, item_id, round(mean, 6) AS predicted_rating, round(mean, 6) AS r
 SELECT count(DISTINCT user_id) AS n_users, count(DISTINCT item_id) AS n_items, count(*) AS n_cells,
        round((1.0 - count(*) / (count(DISTINCT user_id) * count(DISTINCT item_id))) * 100, 6) AS sparsity_pct
 FROM train""", _BASE),
+    "A18_item_vectors": _q("SELECT item_id AS row_id, user_id AS col_id, rating AS value FROM train", _BASE),
     "M1_item_clusters": _q(f"SELECT item_id, cluster FROM kmm_a{ORACLE_STEPS} WHERE k = {K_MAIN}",
                            _BASE + OK.kmeans_ctes([K_MAIN], ORACLE_STEPS, tag="m")[0]),
     "M2_wcss_sweep": _q("SELECT k, wcss FROM sweep", _BASE + _sweep_ctes()),
