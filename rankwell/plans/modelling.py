@@ -81,6 +81,13 @@ def q_utility_summary(spark, sf):
     return cluster.utility_summary(train)
 
 
+def q_test_nunique(spark, sf):
+    """Number of distinct items in the test split."""
+    from rankwell.operators import stats
+    _, test = split_frames(spark, sf)
+    return stats.nunique(test, "item_id", "n_test_items")
+
+
 def q_item_vectors(spark, sf):
     """The transposed utility matrix in long form — items as rows."""
     train, _ = split_frames(spark, sf)
@@ -225,6 +232,7 @@ QUERIES = {
     "M5_user_clusters": q_user_clusters,
     "A4_cluster_distribution": q_cluster_distribution,
     "A16_utility_summary": q_utility_summary,
+    "A12_test_nunique": q_test_nunique,
     "A18_item_vectors": q_item_vectors,
     "M1_item_clusters": q_item_clusters,
     "M2_wcss_sweep": q_wcss_sweep,
@@ -366,6 +374,7 @@ SELECT user_id, item_id, round(mean, 6) AS predicted_rating, round(mean, 6) AS r
 SELECT count(DISTINCT user_id) AS n_users, count(DISTINCT item_id) AS n_items, count(*) AS n_cells,
        round((1.0 - count(*) / (count(DISTINCT user_id) * count(DISTINCT item_id))) * 100, 6) AS sparsity_pct
 FROM train""", _BASE),
+    "A12_test_nunique": _q("SELECT count(DISTINCT item_id) AS n_test_items FROM test", _BASE),
     "A18_item_vectors": _q("SELECT item_id AS row_id, user_id AS col_id, rating AS value FROM train", _BASE),
     "M1_item_clusters": _q(f"SELECT item_id, cluster FROM kmm_a{ORACLE_STEPS} WHERE k = {K_MAIN}",
                            _BASE + OK.kmeans_ctes([K_MAIN], ORACLE_STEPS, tag="m")[0]),
