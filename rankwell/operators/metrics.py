@@ -77,6 +77,26 @@ def ranking_metrics(pred: DataFrame, ks=(5, 10, 20), threshold: float = 4.0) ->
     return rows
 
 
+def ranking_metrics_per_user(pred: DataFrame, ks=(5, 10, 20), threshold: float = 4.0) -> DataFrame:
+    """E4 variant: Precision@K / Recall@K per user, averaged over users with at
+    least one relevant item.  The per-user top-max(K) is a ``row_number``
+    filter (partial + final WindowGroupLimit, so a heavy user is cut map-side)."""
+    kmax = max(ks)
+    w = Window.partitionBy("user_id").orderBy(F.desc("predicted"), F.asc("item_id"))
+    top = pred.withColumn("pos", F.row_number().over(w)).filter(F.col("pos") <= kmax)
+    rel = pred.groupBy("user_id").agg(F.count_if(F.col("rating") >= threshold).alias("rel"))
+    hits = top.groupBy("user_id").agg(*[F.count_if((F.col("pos") <= k) & (F.col("rating") >= threshold))
+                                        .alias(f"h{k}") for k in ks])
+    per_user = hits.join(rel, "user_id").filter(F.col("rel") > 0)
+    rows = None
+    for k in ks:
+        row = per_user.agg(F.round(F.avg(F.col(f"h{k}") / F.lit(float(k))), 6).alias("precision_at_k"),
+                           F.round(F.avg(F.col(f"h{k}") / F.col("rel")), 6).alias("recall_at_k")) \
+            .select(F.lit(k).alias("k"), "precision_at_k", "recall_at_k")
+        rows = row if rows is None else rows.unionByName(row)
+    return rows
+
+
 def coverage(test: DataFrame, items: DataFrame) -> DataFrame:
     """Distinct test items over catalogue size, in percent."""
     n_test = test.agg(F.countDistinct("item_id")).scalar()

@@ -147,6 +147,15 @@ def q_ranking(spark, sf):
     return metrics.ranking_metrics(knn_predictions(spark, sf), RANK_KS)
 
 
+def q_ranking_per_user(spark, sf):
+    return metrics.ranking_metrics_per_user(knn_predictions(spark, sf), RANK_KS)
+
+
+def q_recommendation_coverage(spark, sf):
+    """E5 variant: distinct recommended items over the catalogue."""
+    return metrics.coverage(q_recommend(spark, sf), A.items(spark, sf))
+
+
 def q_coverage(spark, sf):
     _, test = split_frames(spark, sf)
     return metrics.coverage(test, A.items(spark, sf))
@@ -246,6 +255,8 @@ QUERIES = {
     "R3_baseline_metrics": q_baseline_metrics,
     "E4_ranking_metrics": q_ranking,
     "E5_coverage": q_coverage,
+    "E4_ranking_per_user": q_ranking_per_user,
+    "E5_recommendation_coverage": q_recommendation_coverage,
     "A13_error_summary": q_error_summary,
     "A14_error_bands": q_error_bands,
     "R9_compare_models": q_compare,
@@ -404,6 +415,15 @@ SELECT k, round(count(*) FILTER (WHERE pos <= k AND rating >= 4) / CAST(k AS DOU
        round(CASE WHEN (SELECT rel FROM tot) > 0
                   THEN count(*) FILTER (WHERE pos <= k AND rating >= 4) / (SELECT rel FROM tot) ELSE 0.0 END, 6) AS recall_at_k
 FROM top, (SELECT unnest([{', '.join(map(str, RANK_KS))}]) AS k) ks GROUP BY k""", _knn_ctes()),
+    "E4_ranking_per_user": _q(f"""
+, top AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY predicted DESC, item_id) AS pos FROM {_PRED}),
+rel AS (SELECT user_id, count(*) FILTER (WHERE rating >= 4) AS rel FROM {_PRED} GROUP BY user_id),
+ks AS (SELECT unnest([{', '.join(map(str, RANK_KS))}]) AS k),
+hits AS (SELECT ks.k, r.user_id, r.rel,
+                (SELECT count(*) FROM top t WHERE t.user_id = r.user_id AND t.pos <= ks.k AND t.rating >= 4) AS h
+         FROM rel r CROSS JOIN ks WHERE r.rel > 0)
+SELECT k, round(avg(h / CAST(k AS DOUBLE)), 6) AS precision_at_k, round(avg(h / CAST(rel AS DOUBLE)), 6) AS recall_at_k
+FROM hits GROUP BY k""", _knn_ctes()),
     "E5_coverage": _q("""
 SELECT (SELECT count(DISTINCT item_id) FROM test) AS n_test_items, count(*) AS catalogue,
        round((SELECT count(DISTINCT item_id) FROM test) * 100.0 / count(*), 6) AS coverage_pct FROM items""", _BASE),
@@ -434,3 +454,10 @@ SELECT model, rmse, mae,
                          + " FROM grid GROUP BY k", _grid_ctes()),
     "A20_best_params": _q("SELECT k, n, rmse, mae FROM grid ORDER BY rmse, k, n LIMIT 1", _grid_ctes()),
 }
+
+_R5 = ORACLE["R5_recommend_top_n"]
+_R5_HEAD = _R5[:_R5.rindex("\nSELECT user_id, item_id, round(mean, 6) AS predicted_rating")]
+ORACLE["E5_recommendation_coverage"] = _R5_HEAD + f"""
+SELECT count(DISTINCT item_id) AS n_test_items, (SELECT count(*) FROM items) AS catalogue,
+       round(count(DISTINCT item_id) * 100.0 / (SELECT count(*) FROM items), 6) AS coverage_pct
+FROM top WHERE rank <= {N_MAIN}"""
