@@ -5,6 +5,7 @@ from __future__ import annotations
 import importlib
 
 MODULES = {
+    "op2_ngram_join": "ngram_join",
     "op1_substring_dedup": "substring_dedup",
 }
 
