@@ -44,7 +44,7 @@ MIN_WORDS = 20
 MAX_CHAR_DISTANCE = 0.12
 MAX_WORD_DISTANCE = 0.45
 #: Sampling distances added to a threshold.
-NOISE = 2.5
+NOISE = 3.0
 #: Java regular expressions.
 SPACE = r"[\x20\x09-\x0D]+"
 

@@ -7,6 +7,7 @@ import importlib
 MODULES = {
     "op2_ngram_join": "ngram_join",
     "op5_quality_rules": "quality_rules",
+    "op9_pii": "pii",
     "op1_substring_dedup": "substring_dedup",
 }
 
