@@ -8,6 +8,7 @@ MODULES = {
     "op2_ngram_join": "ngram_join",
     "op5_quality_rules": "quality_rules",
     "op9_pii": "pii",
+    "op3_warc": "warc",
     "op1_substring_dedup": "substring_dedup",
 }
 
