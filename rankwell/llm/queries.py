@@ -9,6 +9,7 @@ MODULES = {
     "op5_quality_rules": "quality_rules",
     "op9_pii": "pii",
     "op3_warc": "warc",
+    "op10_html_text": "html_text",
     "op1_substring_dedup": "substring_dedup",
 }
 
