@@ -10,6 +10,7 @@ MODULES = {
     "op9_pii": "pii",
     "op3_warc": "warc",
     "op10_html_text": "html_text",
+    "op6_embedding_dedup": "embedding_dedup",
     "op1_substring_dedup": "substring_dedup",
 }
 
