@@ -176,7 +176,7 @@ def keep_quality(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
 
 def language_inputs(features: DataFrame) -> DataFrame:
     """What the references need of the features."""
-    return features.select("lang", "n_words", "n_repeat_words", "char_classes", "common")
+    return features.select("lang", "n_words", "word_chars", "n_repeat_words", "char_classes", "common")
 
 
 def op5_quality_rules(spark, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ MODULES = {
     "op3_warc": "warc",
     "op10_html_text": "html_text",
     "op6_embedding_dedup": "embedding_dedup",
+    "op8_packing": "packing",
     "op1_substring_dedup": "substring_dedup",
 }
 
