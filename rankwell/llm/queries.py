@@ -12,6 +12,7 @@ MODULES = {
     "op10_html_text": "html_text",
     "op6_embedding_dedup": "embedding_dedup",
     "op8_packing": "packing",
+    "op4_sentencepiece": "sentencepiece_fst",
     "op1_substring_dedup": "substring_dedup",
 }
 
