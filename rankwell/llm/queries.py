@@ -13,6 +13,7 @@ MODULES = {
     "op6_embedding_dedup": "embedding_dedup",
     "op8_packing": "packing",
     "op4_sentencepiece": "sentencepiece_fst",
+    "op7_kneser_ney": "kneser_ney",
     "op1_substring_dedup": "substring_dedup",
 }
 
