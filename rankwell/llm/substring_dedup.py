@@ -21,7 +21,7 @@ pairs of documents are formed. Documents travel compressed.
 
 Defined cases: null text has no words; texts shorter than a window keep all; a null id is never "smaller",
 and such a row keeps all its words; rows that repeat an id are one document with several texts, each
-returned; an empty table gives an empty result; other columns are ignored, or passed on by ``cut_repeats``.
+judged and returned; an empty table gives an empty result; other columns are ignored, or passed on by ``cut_repeats``.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankwell.llm import words as W
-from rankwell.llm.frames import cut_lineage, fresh, map_batches, read
+from rankwell.llm.frames import cut_lineage, map_batches, read
 
 SEED_WORDS = 10
 
@@ -78,7 +78,7 @@ def _seeds(min_words: int):
 def _pack(batch: pa.RecordBatch):
     z = zstandard.ZstdCompressor(level=1)
     packed = [None if t is None else z.compress(t) for t in batch.column(1).to_pylist()]
-    yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["doc", "packed"])
+    yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary()), batch.column(2)], names=["doc", "packed", "tag"])
 
 
 def _member(x: np.ndarray, values: list | None) -> np.ndarray:
@@ -92,7 +92,7 @@ def _extend(min_words: int):
     def emit(batch: pa.RecordBatch):
         z = zstandard.ZstdDecompressor()
         rows = []
-        for doc, packed, owned, single in zip(*(c.to_pylist() for c in batch.columns)):
+        for doc, packed, tag, owned, single in zip(*(c.to_pylist() for c in batch.columns)):
             if packed is None:
                 continue
             hashes = W.word_hashes(z.decompress(packed))
@@ -106,13 +106,13 @@ def _extend(min_words: int):
             repeated = np.stack((start[~mine], end[~mine]), axis=1).ravel()
             at = np.concatenate([np.arange(a, b) for a, b in zip(start[open_], end[open_])] or [np.zeros(0, np.int64)])
             w1, w2 = one.hash(at, at + min_words), two.hash(at, at + min_words)
-            rows.append((doc, repeated.astype(np.int32), at.astype(np.int32), w1.view(np.int64), w2.view(np.int64)))
+            rows.append((doc, tag, repeated.astype(np.int32), at.astype(np.int32), w1.view(np.int64), w2.view(np.int64)))
         if rows:
             cols = list(zip(*rows))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.list_(pa.int32())), pa.array(cols[2], pa.list_(pa.int32())),
-                 pa.array(cols[3], pa.list_(pa.int64())), pa.array(cols[4], pa.list_(pa.int64()))],
-                names=["doc", "repeated", "at", "w1", "w2"])
+                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.list_(pa.int32())),
+                 pa.array(cols[3], pa.list_(pa.int32())), pa.array(cols[4], pa.list_(pa.int64())), pa.array(cols[5], pa.list_(pa.int64()))],
+                names=["doc", "tag", "repeated", "at", "w1", "w2"])
     return emit
 
 
@@ -120,7 +120,7 @@ def _merge(min_words: int):
     """The word ranges [start, end) that go: the unions of the repeated windows."""
     def emit(batch: pa.RecordBatch):
         out = []
-        for doc, repeated, at, w1, kept in zip(*(c.to_pylist() for c in batch.columns)):
+        for doc, tag, repeated, at, w1, kept in zip(*(c.to_pylist() for c in batch.columns)):
             r = np.array(repeated, dtype=np.int64).reshape(-1, 2)
             at = np.array(at, dtype=np.int64)
             at = at[~_member(np.array(w1, dtype=np.int64), kept)]
@@ -132,17 +132,21 @@ def _merge(min_words: int):
             lo, hi = lo[order], np.maximum.accumulate(hi[order])
             first = np.concatenate(([True], lo[1:] > hi[:-1]))
             ends = np.concatenate((hi[:-1][first[1:]], hi[-1:]))
-            out.append((doc, np.stack((lo[first], ends), axis=1).ravel().astype(np.int32)))
+            out.append((doc, tag, np.stack((lo[first], ends), axis=1).ravel().astype(np.int32)))
         if out:
             cols = list(zip(*out))
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.list_(pa.int32()))],
-                                             names=["doc", "ranges"])
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.list_(pa.int32()))],
+                                             names=["doc", "tag", "ranges"])
     return emit
 
 
 def repeat_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 50) -> DataFrame:
-    """(doc, ranges): for each document with repeats, the word ranges that go, flattened [s0, e0, s1, e1, ...]."""
-    base = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("binary").alias("data")).filter(
+    """(doc, tag, ranges): for each document with repeats, the word ranges that go, flattened [s0, e0, s1, e1, ...].
+
+    ``tag`` is the hash of the text, which tells rows that repeat an id apart.
+    """
+    data = F.col(text_col).cast("binary")
+    base = docs.select(F.col(id_col).cast("long").alias("doc"), data.alias("data"), F.xxhash64(data).alias("tag")).filter(
         F.col("doc").isNotNull())
     runs = map_batches(base, _seeds(min_words), "doc long, seed long, f1 long, f2 long")
     owners = runs.groupBy("seed", "f1", "f2").agg(F.min("doc").alias("doc"))
@@ -151,14 +155,14 @@ def repeat_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     claims = owners.select("doc", "f1", F.lit(0).alias("kind")).unionByName(single.select("doc", "f1", F.lit(1).alias("kind")))
     claims = claims.groupBy("doc").agg(F.collect_list(F.when(F.col("kind") == 0, F.col("f1"))).alias("owned"),
                                        F.collect_list(F.when(F.col("kind") == 1, F.col("f1"))).alias("single"))
-    packed = map_batches(base, _pack, "doc long, packed binary")
+    packed = map_batches(base, _pack, "doc long, packed binary, tag long")
     state = cut_lineage(map_batches(packed.join(claims, "doc", "left"), _extend(min_words),
-                                    "doc long, repeated array<int>, at array<int>, w1 array<long>, w2 array<long>"))
+                                    "doc long, tag long, repeated array<int>, at array<int>, w1 array<long>, w2 array<long>"))
     windows = state.select("doc", F.explode(F.arrays_zip("w1", "w2")).alias("w")).select("doc", "w.w1", "w.w2")
     kept = windows.groupBy("w1", "w2").agg(F.min("doc").alias("doc")).groupBy("doc").agg(F.collect_list("w1").alias("kept"))
-    ranges = map_batches(state.select("doc", "repeated", "at", "w1").join(kept, "doc", "left"), _merge(min_words),
-                         "doc long, ranges array<int>")
-    return ranges
+    ranges = map_batches(state.select("doc", "tag", "repeated", "at", "w1").join(kept, "doc", "left"), _merge(min_words),
+                         "doc long, tag long, ranges array<int>")
+    return ranges.dropDuplicates(["doc", "tag"])
 
 
 def _cut(text_at: int, ranges_at: int, joined: bool):
@@ -197,10 +201,14 @@ def _cut(text_at: int, ranges_at: int, joined: bool):
 
 def _with_ranges(docs: DataFrame, columns: list[str], id_col: str, text_col: str, min_words: int, joined: bool) -> DataFrame:
     ranges = repeat_ranges(docs, id_col, text_col, min_words)
-    key = fresh(docs, "__doc")
-    frame = docs.select(*columns, F.col(id_col).cast("long").alias(key), F.col(text_col).cast("binary").alias("__data"))
-    frame = frame.join(ranges.withColumnRenamed("doc", key), key, "left").select(*columns, "__data", "ranges")
-    fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
+    # The frame's columns are the caller's, then __doc, __tag and __data; the caller's are only passed on by place.
+    names = [f"c{i}" for i in range(len(columns))]
+    data = F.col(text_col).cast("binary")
+    frame = docs.select(*[F.col(c).alias(n) for c, n in zip(columns, names)], F.col(id_col).cast("long").alias("__doc"), F.xxhash64(data).alias("__tag"),
+                        data.alias("__data"))
+    ranges = ranges.select(F.col("doc").alias("__doc"), F.col("tag").alias("__tag"), F.col("ranges").alias("__ranges"))
+    frame = frame.join(ranges, ["__doc", "__tag"], "left").select(*names, "__data", "__ranges")
+    fields = ", ".join(f"{n} {docs.schema[c].dataType.simpleString()}" for c, n in zip(columns, names))
     return map_batches(frame, _cut(len(columns), len(columns) + 1, joined),
                        f"{fields}, __text binary, __ranges array<int>, __words long, __removed long")
 
@@ -212,7 +220,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     r = F.coalesce(F.col("__ranges"), F.array().cast("array<int>"))
     pairs = F.transform(F.sequence(F.lit(0), (F.size(r) / 2).cast("int") - 1),
                         lambda i: F.struct(F.get(r, 2 * i).alias("start"), F.get(r, 2 * i + 1).alias("end")))
-    return out.select(F.col(id_col).alias("doc_id"), F.col("__words").alias("n_words"), F.col("__removed").alias("n_removed"),
+    return out.select(F.col("c0").alias("doc_id"), F.col("__words").alias("n_words"), F.col("__removed").alias("n_removed"),
                       F.col("__text").cast("string").alias("kept_text"),
                       F.when(F.size(r) > 0, pairs).otherwise(F.array().cast("array<struct<start:int,end:int>>")).alias("removed"))
 
@@ -220,8 +228,9 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 50) -> DataFrame:
     """``docs`` with the repeats cut out of the text (its other white space stays) and all other columns as they are."""
     others = [c for c in docs.columns if c != text_col]
-    out = _with_ranges(docs, others, id_col, text_col, min_words, False).withColumn(text_col, F.col("__text").cast("string"))
-    return out.select(*docs.columns)
+    out = _with_ranges(docs, others, id_col, text_col, min_words, False)
+    at = {c: F.col(f"c{i}") for i, c in enumerate(others)} | {text_col: F.col("__text").cast("string")}
+    return out.select(*[at[c].alias(c) for c in docs.columns])
 
 
 def op1_substring_dedup(spark, sf_dir: str) -> DataFrame:
