@@ -202,11 +202,15 @@ def _record(kind: str, fields: list[tuple[str, str]], block: bytes, url: str, da
 
 
 def to_warc(records: DataFrame, path: str) -> None:
-    """Converts the rows of ``read_arc`` (a written table) into WARC files, equal payloads as revisits."""
-    keyed = records.withColumn("seq", F.struct(F.col("page_id").isNull().alias("none"), F.col("page_id").alias("id"), "file", "place"))
-    firsts = cut_lineage(keyed.groupBy("payload_digest").agg(
-        F.min(F.struct("seq", "url", "date")).alias("first"), F.count(F.lit(1)).alias("n")))
-    out = attach(keyed, firsts, "payload_digest", "n", records.count())
+    """Converts the rows of ``read_arc`` into WARC files, equal payloads as revisits.
+
+    The archives are read twice, once for the digests and once for the payloads: a table of the payloads
+    would take as much disk as the archives.
+    """
+    seq = F.struct(F.col("page_id").isNull().alias("none"), F.col("page_id").alias("id"), "file", "place")
+    keys = cut_lineage(records.select("payload_digest", F.struct(seq.alias("seq"), "url", "date").alias("first")))
+    firsts = cut_lineage(keys.groupBy("payload_digest").agg(F.min("first").alias("first"), F.count(F.lit(1)).alias("n")))
+    out = attach(records.withColumn("seq", seq), firsts, "payload_digest", "n", keys.count())
 
     def run(batches):
         z = zstandard.ZstdDecompressor()
@@ -290,7 +294,7 @@ def read_warc(spark, path: str) -> DataFrame:
 
 def convert(spark, arc_path: str, warc_path: str) -> DataFrame:
     """ARC files to WARC files; returns the records as read back from the latter."""
-    to_warc(cut_lineage(read_arc(spark, arc_path)), warc_path)
+    to_warc(read_arc(spark, arc_path), warc_path)
     return read_warc(spark, warc_path)
 
 
