@@ -48,13 +48,13 @@ def attach(df: DataFrame, table: DataFrame, key: str, rows_of_key: str, total: i
     hot = table.filter(F.col(rows_of_key) > limit).select(
         F.col(key).alias("__hot"), F.struct(*values).alias("__hot_values"))
     cold = table.filter(F.col(rows_of_key) <= limit).select(
-        F.col(key).alias("__cold"), F.struct(*values).alias("__cold_values"))
+        F.col(key).alias("__cold"), F.pmod(rows_of_key, F.lit(1)).alias("__zero"), F.struct(*values).alias("__cold_values"))
     out = df.join(F.broadcast(hot), df[key] == F.col("__hot"), "left")
-    out = out.withColumn("__key", F.when(F.col("__hot").isNull(), F.col(key)))
-    # Rows that are done must not meet in one task: unmatched keys spread by themselves.
-    out = out.filter(F.col("__key").isNotNull()).join(cold, F.col("__key") == F.col("__cold"), "left").unionByName(
-        out.filter(F.col("__key").isNull()).withColumns(
-            {"__cold": F.lit(None).cast(table.schema[key].dataType),
-             "__cold_values": F.lit(None).cast(cold.schema["__cold_values"].dataType)}))
+    # Rows that are done, and rows without a key, match nothing and must not meet in one task: they are dealt by a number
+    # that no table row has (theirs is zero, computed so that it stays a join key).
+    looking = F.col("__hot").isNull() & F.col(key).isNotNull()
+    out = out.withColumn("__key", F.when(looking, F.col(key))).withColumn(
+        "__spread", F.when(looking, 0).otherwise(1 + F.pmod(F.monotonically_increasing_id(), F.lit(65536))))
+    out = out.join(cold, (F.col("__key") == F.col("__cold")) & (F.col("__spread") == F.col("__zero")), "left")
     picked: list[Column] = [F.coalesce(F.col(f"__hot_values.{v}"), F.col(f"__cold_values.{v}")).alias(v) for v in values]
     return out.select(*[F.col(c) for c in df.columns], *picked)
