@@ -16,12 +16,11 @@ One Lloyd step is two equi-joins and two partial aggregates:
     ratings ⋈ assignment (on item) → group by user   → S[j,u]
     ratings ⋈ S         (on user) → group by item   → Σ r·S, argmin
 
-Several k run side by side in the same passes (one assignment column per k),
-which is how the WCSS sweep evaluates k = 2..10 for the price of one scan per
-iteration.  Hot users / items are handled by map-side partial aggregation and
-AQE skew joins; the assignment is broadcast only when its measured size is
-under ``BROADCAST_ROWS``.  Each iteration's assignment is checkpointed into
-the shared checkpoint folder to cut lineage.
+Several k run side by side in the same passes (one assignment column per k);
+a k whose assignment is stable leaves the passes and keeps its column.  The
+ratings are partitioned by user once and cached, so neither the group-by nor
+the join on the user moves them again.  Each iteration's assignment is written
+to the shared checkpoint folder to cut lineage, and older ones are deleted.
 
 Initialisation is the deterministic partition rule: cluster(i) = i mod k.
 Ties in the argmin go to the lowest cluster index after rounding distances to
@@ -36,11 +35,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from rankwell.session import cut_lineage
+from rankwell.session import cut_lineage, release
 
-BROADCAST_ROWS = 2_000_000
 DIST_DEC = 6
-MAX_K = 64
 
 
 def _a(k):
@@ -57,21 +54,16 @@ class LloydResult:
     assign: DataFrame                    # point_id, a{k}...
     sums: DataFrame                      # dim_id, s{k}_{j}...
     sizes: dict = field(default_factory=dict)     # (k, j) -> n
-    sq: dict = field(default_factory=dict)        # (k, j) -> Q
+    sq: dict = field(default_factory=dict)        # (k, j) -> Q, in the cells' numeric type
     iterations: dict = field(default_factory=dict)  # k -> steps until stable
     converged: dict = field(default_factory=dict)
 
 
-def _maybe_broadcast(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
-
-def _centre_sums(t: DataFrame, assign: DataFrame, ks: list[int], n_points: int) -> DataFrame:
-    j = t.join(_maybe_broadcast(assign, n_points), "point_id")
+def _centre_sums(t: DataFrame, assign: DataFrame, ks: list[int]) -> DataFrame:
     dtype = dict(t.dtypes)["v"]
     aggs = [F.sum(F.when(F.col(_a(k)) == c, F.col("v")).otherwise(F.lit(0))).cast(dtype).alias(_s(k, c))
             for k in ks for c in range(k)]
-    return j.groupBy("dim_id").agg(*aggs)
+    return t.join(assign, "point_id").groupBy("dim_id").agg(*aggs)
 
 
 def quantize(x: F.Column, dec: int = DIST_DEC) -> F.Column:
@@ -89,61 +81,30 @@ def distance(nrm: F.Column, dot: F.Column, n: F.Column, q: F.Column) -> F.Column
                   ).cast("bigint")
 
 
-def argmin(cols: list[F.Column]) -> F.Column:
-    """Index of the smallest quantized distance, lowest index on ties:
-    least(d_j · 64 + j) mod 64 — one ``least`` over k integer keys."""
-    assert len(cols) <= MAX_K
-    return F.pmod(F.least(*[c * F.lit(MAX_K) + F.lit(i) for i, c in enumerate(cols)]), F.lit(MAX_K)).cast("int")
-
-
-def _cluster_scalars(assign: DataFrame, sums: DataFrame, ks: list[int], kept: dict | None = None) -> DataFrame:
-    """(k, j, n, q): size and Σ_u S² of every centre, computed by Spark.
-
-    Σk rows at most (≤ 64 per k), so broadcasting it is size-bounded by
-    construction.  A centre kept from an earlier step (emptied cluster) gets
-    its old (n, q)."""
-    n = assign.agg(*[F.count_if(F.col(_a(k)) == c).cast("double").alias(_s(k, c)) for k in ks for c in range(k)])
-    q = sums.agg(*[F.sum(F.col(_s(k, c)) * F.col(_s(k, c))).cast("double").alias(_s(k, c))
-                   for k in ks for c in range(k)])
+def nearest(distances: F.Column) -> F.Column:
+    """(d, j): the smallest of an array of quantized distances and its index, lowest index on ties; a null distance
+    (empty cluster) never wins.  Any number of clusters."""
+    least = F.array_min(distances)
+    return F.struct(least.alias("d"), (F.array_position(distances, least) - 1).cast("int").alias("j"))
 
-    def longform(df, name):
-        pairs = ", ".join(f"{k}, {c}, `{_s(k, c)}`" for k in ks for c in range(k))
-        return df.selectExpr(f"stack({sum(ks)}, {pairs}) as (k, j, {name})")
 
-    out = longform(n, "n").join(longform(q, "q"), ["k", "j"])
-    for (k, c), (on, oq) in (kept or {}).items():
-        hit = (F.col("k") == k) & (F.col("j") == c)
-        out = out.select("k", "j", F.when(hit, F.lit(float(on))).otherwise(F.col("n")).alias("n"),
-                         F.when(hit, F.lit(float(oq))).otherwise(F.col("q")).alias("q"))
-    return out
-
-
-def _nearest_keys(t: DataFrame, sums: DataFrame, norms: DataFrame, ks, scal: DataFrame) -> DataFrame:
-    """(point_id, k, key) with key = quantized dist² · 64 + nearest centre.
+def _nearest(t: DataFrame, sums: DataFrame, norms: DataFrame, ks: list[int], sizes: dict, sq: dict) -> DataFrame:
+    """point_id and, for each k, the struct ``b{k}`` (d, j) of its nearest centre.
 
-    Σ_u r·S per (point, centre) is one wide partial aggregate, stacked to
-    (point, k, j, dot), joined to the broadcast centre scalars, reduced with
-    min(key) per (point, k)."""
+    Σ_u r·S per (point, centre) is one wide partial aggregate, compared with the centres' sizes and Σ S² inside the
+    row.  These are a one-row scalar subquery, so the generated code stays the same from step to step, and the
+    comparison is a function of arrays, so its code does not grow with the number of centres."""
     dtype = dict(t.dtypes)["v"]
-    dots = (t.join(sums, "dim_id")
-            .groupBy("point_id")
-            .agg(*[F.sum(F.col("v") * F.col(_s(k, c))).cast(dtype).alias(_s(k, c))
-                   for k in ks for c in range(k)]))
-    pairs = ", ".join(f"{k}, {c}, `{_s(k, c)}`" for k in ks for c in range(k))
-    stacked = (dots.join(norms, "point_id")
-               .selectExpr("point_id", "nrm", f"stack({sum(ks)}, {pairs}) as (k, j, dot)"))
-    return (stacked.join(F.broadcast(scal), ["k", "j"])
-            .select("point_id", "k",
-                    (distance(F.col("nrm"), F.col("dot"), F.col("n"), F.col("q")) * F.lit(MAX_K) + F.col("j"))
-                    .alias("key")))
-
-
-def _assign_step(t: DataFrame, sums: DataFrame, norms: DataFrame, ks, scal: DataFrame) -> DataFrame:
-    """Nearest centre per (point, k) as a pivot grouped by point (the stacked
-    rows stay in their partition, no extra shuffle)."""
-    keyed = _nearest_keys(t, sums, norms, ks, scal)
-    wide = keyed.groupBy("point_id").pivot("k", ks).agg(F.min("key"))
-    return wide.select("point_id", *[F.pmod(F.col(str(k)), F.lit(MAX_K)).cast("int").alias(_a(k)) for k in ks])
+    dots = (t.join(sums, "dim_id").groupBy("point_id")
+            .agg(*[F.sum(F.col("v") * F.col(_s(k, c))).cast(dtype).alias(_s(k, c)) for k in ks for c in range(k)])
+            .select("point_id", *[F.array(*[_s(k, c) for c in range(k)]).alias(f"dots{k}") for k in ks]))
+    one = t.sparkSession.createDataFrame(
+        [tuple([(float(sizes[k, c]), float(sq[k, c])) for c in range(k)] for k in ks)],
+        ", ".join(f"s{k} array<struct<n:double,q:double>>" for k in ks))
+    wide = dots.join(norms, "point_id").withColumn("__s", one.select(F.struct("*")).scalar())
+    far = wide.select("point_id", *[F.zip_with(f"dots{k}", F.col(f"__s.s{k}"), lambda dot, c: distance(F.col("nrm"), dot, c["n"], c["q"])).alias(f"b{k}")
+                                    for k in ks])
+    return far.select("point_id", *[nearest(F.col(f"b{k}")).alias(f"b{k}") for k in ks])
 
 
 def _sizes(assign: DataFrame, ks: list[int]) -> dict:
@@ -152,78 +113,72 @@ def _sizes(assign: DataFrame, ks: list[int]) -> dict:
 
 
 def _square_sums(sums: DataFrame, ks: list[int]) -> dict:
-    row = sums.agg(*[F.sum(F.col(_s(k, c)) * F.col(_s(k, c))).cast("bigint").alias(_s(k, c))
-                     for k in ks for c in range(k)]).first()
-    return {(k, c): int(row[_s(k, c)] or 0) for k in ks for c in range(k)}
+    row = sums.agg(*[F.sum(F.col(_s(k, c)) * F.col(_s(k, c))).alias(_s(k, c)) for k in ks for c in range(k)]).first()
+    return {(k, c): row[_s(k, c)] or 0 for k in ks for c in range(k)}
 
 
 def lloyd(cells: DataFrame, ks: list[int], max_iter: int = 300, point: str = "item_id",
           dim: str = "user_id", value: str = "rating") -> LloydResult:
     """Run Lloyd's algorithm for every k in ``ks`` side by side until each
-    assignment stops changing (or ``max_iter`` steps).
+    assignment stops changing (or ``max_iter`` steps; ``converged`` says which).
 
-    Per step the driver sees only O(Σk) numbers (cluster sizes and the number
-    of changed assignments).  Per step: the centre scalars (a small subquery
-    job over the cached sums), then one job writes the new assignment to the
-    checkpoint folder (cutting lineage — without it every step would nest the
-    previous plans) while an Observation counts changes and cluster sizes."""
+    Per step the driver sees only O(Σk) numbers (sizes, Σ S² and the numbers of
+    changes).  Two jobs a step: Σ S² of the centre sums, which caches them, and
+    the new assignment, written while an Observation counts changes and sizes."""
     ks = list(ks)
     dtype = "bigint" if dict(cells.dtypes)[value] in ("tinyint", "smallint", "int", "bigint") else "double"
     t = cells.select(F.col(point).alias("point_id"), F.col(dim).alias("dim_id"),
-                     F.col(value).cast(dtype).alias("v")).persist()
+                     F.col(value).cast(dtype).alias("v")).repartition("dim_id").persist()
     norms = cut_lineage(t.groupBy("point_id").agg(F.sum(F.col("v") * F.col("v")).cast(dtype).alias("nrm")))
-    n_points = norms.count()
     assign = cut_lineage(norms.select("point_id", *[F.pmod(F.col("point_id"), F.lit(k)).cast("int").alias(_a(k))
                                                    for k in ks]))
     sizes = _sizes(assign, ks)
     res = LloydResult(ks=ks, assign=assign, sums=None)
-    active = set(ks)
-    prev_sums, kept = None, {}
+    active = list(ks)
+    prev_sums, prev_assign, kept = None, None, {}
     for step in range(1, max_iter + 1):
         # Centre sums of the current assignment; a cluster that the previous
         # step emptied keeps the centre it had (its sums, size and Σ S²).
-        sums = _centre_sums(t, assign, ks, n_points)
+        sums = _centre_sums(t, assign, active)
+        kept = {kc: v for kc, v in kept.items() if kc[0] in active}
         if kept:
             old = prev_sums.select("dim_id", *[F.col(_s(k, c)).alias("o" + _s(k, c)) for (k, c) in kept])
             sums = sums.join(old, "dim_id").select(
                 "dim_id", *[(F.col("o" + _s(k, c)) if (k, c) in kept else F.col(_s(k, c))).alias(_s(k, c))
-                            for k in ks for c in range(k)])
+                            for k in active for c in range(k)])
         sums = sums.persist()
-        scal = _cluster_scalars(assign, sums, ks, kept)
-        # The change count and the new cluster sizes are observed while the
-        # new assignment is written (no separate job per step).
-        old = assign.select("point_id", *[F.col(_a(k)).alias("o" + _a(k)) for k in ks])
+        sq = _square_sums(sums, active) | {kc: q for kc, (_, q) in kept.items()}
+        ns = {(k, c): sizes[(k, c)] for k in active for c in range(k)} | {kc: n for kc, (n, _) in kept.items()}
         obs = Observation(f"lloyd_{uuid.uuid4().hex[:12]}_{step}")
-        stepped = (_assign_step(t, sums, norms, ks, scal).join(_maybe_broadcast(old, n_points), "point_id")
-                   .observe(obs, *[F.count_if(F.col(_a(k)) != F.col("o" + _a(k))).alias("ch" + _a(k)) for k in ks],
-                            *[F.count_if(F.col(_a(k)) == c).alias(_s(k, c)) for k in ks for c in range(k)]))
+        stepped = (_nearest(t, sums, norms, active, ns, sq).join(assign, "point_id")
+                   .select("point_id", *[(F.col(f"b{k}.j") if k in active else F.col(_a(k))).alias(_a(k)) for k in ks],
+                           *[(F.col(f"b{k}.j") != F.col(_a(k))).alias(f"ch{k}") for k in active])
+                   .observe(obs, *[F.count_if(F.col(f"ch{k}")).alias(f"ch{k}") for k in active],
+                            *[F.count_if(F.col(_a(k)) == c).alias(_s(k, c)) for k in active for c in range(k)]))
         new_assign = cut_lineage(stepped.select("point_id", *[_a(k) for k in ks]))
         stat = obs.get
-        new_sizes = {(k, c): int(stat[_s(k, c)]) for k in ks for c in range(k)}
-        emptied = {kc for kc, n in new_sizes.items() if n == 0}
-        if emptied:
-            sums = cut_lineage(sums)
-            q_now = _square_sums(sums, ks)
-            kept = {kc: (kept[kc] if kc in kept else (sizes[kc], q_now[kc])) for kc in emptied}
-        else:
-            kept = {}
+        new_sizes = {(k, c): int(stat[_s(k, c)]) for k in active for c in range(k)}
+        kept = {kc: (ns[kc], sq[kc]) for kc, n in new_sizes.items() if n == 0}
+        # The sums cached last are rebuilt from the last assignment if an executor is lost; what is older goes.
         if prev_sums is not None:
             prev_sums.unpersist()
-        prev_sums, sizes, assign = sums, new_sizes, new_assign
+        if prev_assign is not None:
+            release(prev_assign)
+        prev_sums, prev_assign, assign = sums, assign, new_assign
+        sizes.update(new_sizes)
         for k in list(active):
-            if stat["ch" + _a(k)] == 0:
-                res.iterations[k] = step
-                res.converged[k] = True
-                active.discard(k)
+            if stat[f"ch{k}"] == 0:
+                res.iterations[k], res.converged[k] = step, True
+                active.remove(k)
         if not active:
             break
     for k in active:
-        res.iterations[k] = max_iter
-        res.converged[k] = False
+        res.iterations[k], res.converged[k] = max_iter, False
+    # Centres of the final assignment (for WCSS and profiles).
+    final_sums = cut_lineage(_centre_sums(t, assign, ks))
     if prev_sums is not None:
         prev_sums.unpersist()
-    # Centres of the final assignment (for WCSS and profiles).
-    final_sums = cut_lineage(_centre_sums(t, assign, ks, n_points))
+        release(prev_assign)
     res.sizes, res.sq = _sizes(assign, ks), _square_sums(final_sums, ks)
     res.assign, res.sums = assign, final_sums
     res.norms = norms
@@ -239,22 +194,62 @@ def nearest_with_distance(res: LloydResult, cells: DataFrame, k: int) -> DataFra
     dtype = dict(res.norms.dtypes)["nrm"]
     t = cells.select(F.col(point).alias("point_id"), F.col(dim).alias("dim_id"), F.col(value).cast(dtype).alias("v"))
     sums = res.sums.select("dim_id", *[_s(k, c) for c in range(k)])
-    scal = _cluster_scalars(res.assign.select("point_id", _a(k)), sums, [k])
-    keyed = _nearest_keys(t, sums, res.norms, [k], scal)
-    best = keyed.groupBy("point_id").agg(F.min("key").alias("key"))
-    return best.select("point_id", F.pmod("key", F.lit(MAX_K)).cast("int").alias("cluster"),
-                       F.sqrt(F.greatest(F.lit(0.0), F.floor(F.col("key") / MAX_K) / F.lit(float(10 ** DIST_DEC))))
-                       .alias("distance"))
+    best = _nearest(t, sums, res.norms, [k], res.sizes, res.sq)
+    return best.select("point_id", F.col(f"b{k}.j").alias("cluster"),
+                       F.sqrt(F.greatest(F.lit(0.0), F.col(f"b{k}.d") / F.lit(float(10 ** DIST_DEC)))).alias("distance"))
+
+
+def dense_lloyd(points: DataFrame, dims: list[str], k: int, max_iter: int = 300) -> tuple[DataFrame, int, bool]:
+    """K-Means for points with few integer columns (``point_id`` and ``dims``): (point_id, cluster, d), the steps, and
+    whether the assignment is stable.  The same rules as ``lloyd``; ``d`` is the quantized squared distance.
+
+    The k × dims centre sums are exact and known to the driver, so a step is one aggregate over the cached points:
+    an assignment is a function of the centres before it, the last two sets give the changes, nothing is written."""
+    points = points.select("point_id", *[F.col(d).cast("bigint").alias(d) for d in dims]).persist()
+    norm = sum((F.col(d) * F.col(d) for d in dims[1:]), F.col(dims[0]) * F.col(dims[0]))
+
+    def best(df: DataFrame, name: str, centres: list[tuple[int, list[int]]]) -> DataFrame:
+        one = df.sparkSession.createDataFrame(
+            [([float(n) for n, _ in centres], [float(sum(x * x for x in s)) for _, s in centres], [s for _, s in centres])],
+            "n array<double>, q array<double>, s array<array<bigint>>")
+        df = df.withColumn(f"__{name}", one.select(F.struct("n", "q", "s")).scalar())
+
+        def to(j: int) -> F.Column:
+            s = F.get(f"__{name}.s", F.lit(j))
+            dot = sum((F.col(d) * F.get(s, F.lit(i)) for i, d in enumerate(dims[1:], 1)), F.col(dims[0]) * F.get(s, F.lit(0)))
+            return distance(norm, dot, F.get(f"__{name}.n", F.lit(j)), F.get(f"__{name}.q", F.lit(j)))
+        return df.withColumn(f"__{name}_far", F.array(*[to(j) for j in range(k)])).withColumn(name, nearest(F.col(f"__{name}_far")))
+
+    def centres_of(df: DataFrame, cluster: F.Column, kept: list) -> tuple[list[tuple[int, list[int]]], int]:
+        rows = df.groupBy(cluster.alias("j")).agg(F.count(F.lit(1)).alias("n"), F.count_if("changed").alias("changed"),
+                                                  *[F.sum(d).alias(d) for d in dims]).collect()
+        out = list(kept) if kept else [(0, [0] * len(dims))] * k
+        for r in rows:
+            out[r["j"]] = (r["n"], [r[d] for d in dims])
+        return out, sum(r["changed"] for r in rows)
+
+    start = F.pmod(F.col("point_id"), F.lit(k)).cast("int")
+    centres, _ = centres_of(points.withColumn("changed", F.lit(False)), start, [])
+    before, steps, stable = None, 0, False
+    while steps < max_iter and not stable:
+        steps += 1
+        now = best(points, "now", centres)
+        now = now.withColumn("old", start) if before is None else best(now, "last", before).withColumn("old", F.col("last.j"))
+        before, (centres, changed) = centres, centres_of(now.withColumn("changed", F.col("now.j") != F.col("old")), F.col("now.j"), centres)
+        stable = changed == 0
+    out = cut_lineage(best(points, "now", before).select("point_id", F.col("now.j").alias("cluster"), F.col("now.d").alias("d")))
+    points.unpersist()
+    return out, steps, stable
 
 
 def wcss(res: LloydResult) -> DataFrame:
-    """M2: k, iterations, WCSS = Σ_j (N_j − Q_j / n_j), cluster count per k.
+    """M2: k, iterations, WCSS = Σ_j (N_j − Q_j / n_j) and whether the run converged, per k.
 
     N_j is a distributed aggregate of the final assignment; Q_j and n_j are
     the k-sized scalars of the final centres."""
     a = res.assign.join(res.norms, "point_id")
     spark = a.sparkSession
-    n_cols = a.agg(*[F.sum(F.when(F.col(_a(k)) == c, F.col("nrm")).otherwise(F.lit(0))).cast("bigint").alias(_s(k, c))
+    n_cols = a.agg(*[F.sum(F.when(F.col(_a(k)) == c, F.col("nrm")).otherwise(F.lit(0))).alias(_s(k, c))
                      for k in res.ks for c in range(k)])
     ncs = n_cols.select(F.struct("*")).scalar()
     rows = []
@@ -265,7 +260,7 @@ def wcss(res: LloydResult) -> DataFrame:
             term = ncs[_s(k, c)].cast("double") - (F.lit(float(res.sq[(k, c)])) / F.lit(float(n)) if n else F.lit(0.0))
             total = term if total is None else total + term
         rows.append(spark.range(1).select(F.lit(k).alias("k"), F.lit(res.iterations[k]).alias("iterations"),
-                                          F.round(total, 2).alias("wcss")))
+                                          F.round(total, 2).alias("wcss"), F.lit(res.converged[k]).alias("converged")))
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)

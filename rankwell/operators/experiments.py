@@ -31,12 +31,13 @@ def log_runs(runs: DataFrame, path: str) -> None:
 
 
 def search_runs(spark: SparkSession, path: str, experiment: str, metric: str = "rmse") -> DataFrame:
-    """Runs of an experiment ordered by a metric (missing → 0 for display)."""
+    """Runs of an experiment ordered by a metric, runs without it last (0 is only what they display)."""
     runs = spark.read.parquet(path).filter(F.col("experiment") == experiment)
-    return runs.withColumn(metric, F.coalesce(F.col("metrics")[metric], F.lit(0.0))).orderBy(metric, "run_name")
+    return runs.orderBy(F.col("metrics")[metric].asc_nulls_last(), "run_name").withColumn(
+        metric, F.coalesce(F.col("metrics")[metric], F.lit(0.0)))
 
 
 def best_per_name(runs: DataFrame, metric: str = "rmse") -> DataFrame:
-    """The best run of every run name (row_number = 1 by metric)."""
-    w = Window.partitionBy("run_name").orderBy(F.col(metric).asc(), F.col("ts").desc())
+    """The best run of every run name: the smallest logged metric, runs without it last, then the newest."""
+    w = Window.partitionBy("run_name").orderBy(F.col("metrics")[metric].asc_nulls_last(), F.col("ts").desc())
     return runs.withColumn("__r", F.row_number().over(w)).filter("__r = 1").drop("__r")

@@ -19,6 +19,7 @@ GRID_NS = [5, 10, 20]
 MAX_ITER = 300
 # Lloyd steps unrolled in the oracle; the engine stops when stable (<= 28 on sf0.01).
 ORACLE_STEPS = 40
+USER_STEPS = 60
 RANK_KS = [5, 10, 20]
 
 _memo: dict = {}
@@ -100,7 +101,7 @@ def q_item_clusters(spark, sf):
 
 
 def q_wcss_sweep(spark, sf):
-    return cluster.wcss(kmeans(spark, sf, SWEEP_KS)).select("k", "wcss")
+    return cluster.wcss(kmeans(spark, sf, SWEEP_KS)).select("k", "wcss", "converged")
 
 
 def q_elbow(spark, sf):
@@ -224,21 +225,28 @@ USER_K = 4
 def user_clusters(spark, sf):
     key = _key(spark, sf, "uc")
     if key not in _memo:
-        _memo[key] = cut_lineage(recommend.user_clusters(main_profile(spark, sf), K_MAIN, USER_K, MAX_ITER))
+        _memo[key] = recommend.user_clusters(main_profile(spark, sf), K_MAIN, USER_K, MAX_ITER)
     return _memo[key]
 
 
 def q_user_clusters(spark, sf):
-    return user_clusters(spark, sf)
+    return user_clusters(spark, sf)[0]
+
+
+def q_user_clusters_convergence(spark, sf):
+    """M5: whether the user clustering is stable."""
+    rows, _, stable = user_clusters(spark, sf)
+    return rows.agg(F.count(F.lit(1)).alias("n_users")).select("n_users", F.lit(stable).alias("converged"))
 
 
 def q_cluster_distribution(spark, sf):
-    return recommend.cluster_distribution(user_clusters(spark, sf))
+    return recommend.cluster_distribution(user_clusters(spark, sf)[0])
 
 
 QUERIES = {
     "R5_recommend_top_n": q_recommend,
     "M5_user_clusters": q_user_clusters,
+    "M5_convergence": q_user_clusters_convergence,
     "A4_cluster_distribution": q_cluster_distribution,
     "A16_utility_summary": q_utility_summary,
     "A12_test_nunique": q_test_nunique,
@@ -341,7 +349,7 @@ _RMSE = "round(sqrt(avg((rating - predicted) * (rating - predicted))), 6) AS rms
 def _sweep_ctes():
     km, assign = OK.kmeans_ctes(SWEEP_KS, ORACLE_STEPS, tag="s")
     wc, name = OK.wcss_sql(assign, tag="s")
-    return km + wc + [f"sweep AS (SELECT k, wcss FROM {name})"]
+    return km + wc + [OK.converged_sql(ORACLE_STEPS, "s"), f"sweep AS (SELECT w.k, w.wcss, c.converged FROM {name} w JOIN kms_conv c ON c.k = w.k)"]
 
 
 def _grid_ctes():
@@ -366,10 +374,27 @@ def _grid_ctes():
 
 _D2 = """elb AS (SELECT k, lead(wcss) OVER (ORDER BY k) - 2 * wcss + lag(wcss) OVER (ORDER BY k) AS d2 FROM sweep)"""
 
+def _user_ctes():
+    """M5: the quantized profile cells as ratings of (user = point, item cluster = dimension)."""
+    cells = " UNION ALL ".join(
+        f"SELECT user_id AS item_id, {c} AS user_id, CAST(floor(p{c} * {recommend.PROFILE_UNITS}.0 + 0.5) AS BIGINT) AS rating FROM profm" for c in range(K_MAIN))
+    km, assign = OK.kmeans_ctes([USER_K], USER_STEPS, train="cells", tag="u")
+    return _BASE + OK.kmeans_ctes([K_MAIN], ORACLE_STEPS, tag="m")[0] + _profile_sql(
+        K_MAIN, OK.assignment_of(f"kmm_a{ORACLE_STEPS}", K_MAIN), "m") + [f"cells AS MATERIALIZED ({cells})"] + km + [
+        OK.converged_sql(USER_STEPS, "u"),
+        f"""uc AS MATERIALIZED (SELECT item_id AS user_id, cluster AS cluster_number,
+  round(sqrt(greatest(0.0, d / 1000000.0)) / {recommend.PROFILE_UNITS}.0, 6) AS distance_to_centroid, 'v1' AS model_version FROM {assign})"""]
+
+
 _PREF = "pref AS (SELECT user_id, 63 - (greatest(" + ", ".join(
     f"CAST(floor(p{c} * 1e6) AS BIGINT) * 64 + {63 - c}" for c in range(K_MAIN)) + ") % 64) AS cluster FROM profm)"
 
 ORACLE = {
+    "M5_user_clusters": _q("SELECT * FROM uc", _user_ctes()),
+    "M5_convergence": _q("SELECT (SELECT count(*) FROM uc) AS n_users, converged FROM kmu_conv", _user_ctes()),
+    "A4_cluster_distribution": _q("""
+SELECT cluster_number, model_version, count(DISTINCT user_id) AS total_users, round(avg(distance_to_centroid), 6) AS avg_distance
+FROM uc GROUP BY cluster_number, model_version""", _user_ctes()),
     "R5_recommend_top_n": _q(f"""
 , ist AS (SELECT t.item_id, a.cluster, avg(t.rating) AS mean, count(*) AS cnt
           FROM train t JOIN {OK.assignment_of(f"kmm_a{ORACLE_STEPS}", K_MAIN)} a ON a.item_id = t.item_id
@@ -389,7 +414,7 @@ FROM train""", _BASE),
     "A18_item_vectors": _q("SELECT item_id AS row_id, user_id AS col_id, rating AS value FROM train", _BASE),
     "M1_item_clusters": _q(f"SELECT item_id, cluster FROM kmm_a{ORACLE_STEPS} WHERE k = {K_MAIN}",
                            _BASE + OK.kmeans_ctes([K_MAIN], ORACLE_STEPS, tag="m")[0]),
-    "M2_wcss_sweep": _q("SELECT k, wcss FROM sweep", _BASE + _sweep_ctes()),
+    "M2_wcss_sweep": _q("SELECT k, wcss, converged FROM sweep", _BASE + _sweep_ctes()),
     "M3_elbow": _q("SELECT arg_min(k, d2) AS elbow_k FROM elb WHERE d2 IS NOT NULL",
                    _BASE + _sweep_ctes() + [_D2]),
     "M4_cluster_sizes": _q(f"""

@@ -4,7 +4,7 @@ Generated from the same k values and step count as the Spark run; all k run
 side by side in long form (one row per (k, item) assignment), so each step is
 three MATERIALIZED CTEs whatever the number of k.  The arithmetic is the
 engine's: exact integer sums, distance = nrm − 2·dot/n + q/n², quantized as
-floor(x·1e6 + 0.5), argmin = min(dist·64 + j).  Running more steps than the
+floor(x·1e6 + 0.5), argmin = min over (dist, j) pairs.  Running more steps than the
 engine needed is harmless: a stable assignment reproduces itself.  The
 emptied-cluster rule is not expressed here, so a run that hits it shows up as
 a mismatch rather than passing silently.
@@ -12,8 +12,6 @@ a mismatch rather than passing silently.
 
 from __future__ import annotations
 
-MAX_K = 64
-
 
 def kmeans_ctes(ks, steps: int, train: str = "train", tag: str = "") -> tuple[list[str], str]:
     """CTE list ending in assignment ``km{tag}_a{steps}`` with columns (k, item_id, cluster)."""
@@ -36,17 +34,16 @@ def kmeans_ctes(ks, steps: int, train: str = "train", tag: str = "") -> tuple[li
   LEFT JOIN (SELECT k, cluster, sum(s * s) AS q FROM {p}_s{s} GROUP BY k, cluster) q
     ON n.k = q.k AND n.cluster = q.cluster)""")
         ctes.append(f"""{p}_a{s} AS MATERIALIZED (
-  SELECT k, item_id, CAST(min(key) % {MAX_K} AS INTEGER) AS cluster FROM (
-    SELECT c.k, x.item_id,
-           CAST(floor((CAST(x.nrm AS DOUBLE) - 2.0 * CAST(coalesce(d.dot, 0) AS DOUBLE) / c.n + c.q / (c.n * c.n))
-                      * 1000000.0 + 0.5) AS BIGINT) * {MAX_K} + c.cluster AS key
+  SELECT k, item_id, CAST(best.j AS INTEGER) AS cluster, best.d AS d FROM (
+    SELECT c.k, x.item_id, min(struct_pack(
+           d := CAST(floor((CAST(x.nrm AS DOUBLE) - 2.0 * CAST(coalesce(d.dot, 0) AS DOUBLE) / c.n + c.q / (c.n * c.n))
+                     * 1000000.0 + 0.5) AS BIGINT), j := c.cluster)) AS best
     FROM {p}_norm x CROSS JOIN {p}_c{s} c
     LEFT JOIN (SELECT t.item_id, sc.k, sc.cluster, CAST(sum(t.rating * sc.s) AS BIGINT) AS dot
                FROM {train} t JOIN {p}_s{s} sc ON t.user_id = sc.user_id
                GROUP BY t.item_id, sc.k, sc.cluster) d
       ON d.item_id = x.item_id AND d.k = c.k AND d.cluster = c.cluster
-    WHERE c.n > 0) z
-  GROUP BY k, item_id)""")
+    WHERE c.n > 0 GROUP BY c.k, x.item_id) z)""")
     return ctes, f"{p}_a{steps}"
 
 
@@ -55,6 +52,13 @@ def assignment_of(assign: str, k: int) -> str:
     return f"(SELECT item_id, cluster FROM {assign} WHERE k = {k})"
 
 
+def converged_sql(steps: int, tag: str = "") -> str:
+    """CTE (k, converged): whether the last two steps agree."""
+    p = f"km{tag}"
+    return f"""{p}_conv AS (SELECT a.k, count(*) FILTER (WHERE a.cluster <> b.cluster) = 0 AS converged
+  FROM {p}_a{steps} a JOIN {p}_a{steps - 1} b ON a.k = b.k AND a.item_id = b.item_id GROUP BY a.k)"""
+
+
 def wcss_sql(assign: str, train: str = "train", tag: str = "") -> tuple[list[str], str]:
     """WCSS per k of a long-form assignment: Σ_j (N_j − Q_j / n_j); CTE with (k, wcss)."""
     p = f"wc{tag}"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -55,6 +56,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc is not None and not re.match(r"local(\[|$)", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not configured:
         configured = tempfile.mkdtemp(prefix="rankwell-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         try:
@@ -79,4 +82,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/rankwell-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._lineage_path = path
+    return out
+
+
+def release(df: DataFrame) -> None:
+    """Delete the table that ``cut_lineage`` wrote for ``df``; nothing that is still to be computed may need it."""
+    path = getattr(df, "_lineage_path", None)
+    if path:
+        sc = df.sparkSession.sparkContext
+        where = sc._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
