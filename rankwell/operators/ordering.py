@@ -16,9 +16,9 @@ hot key (one user, one rating value), sorts that whole group in a single task.
 4. rows per partition -> running offsets (P rows, size bounded by P) ->
    broadcast back.
 
-``rank_within`` turns a global rank over (group, order) into a rank inside the
-group by subtracting the group's first global rank (a per-group min, i.e. a
-partial aggregate) — exact per-group ranks without a per-group window.
+``rank_within`` ranks inside groups: a row's place in its partition's piece of the
+group plus the group's rows in earlier partitions. Its join key is (partition,
+group), so no key has more rows than a partition — never the group alone.
 """
 
 from __future__ import annotations
@@ -53,13 +53,35 @@ def global_rank(df: DataFrame, order: list[str], out: str = "grank", partitions:
 
 
 def rank_within(df: DataFrame, group: list[str], order: list[str], out: str = "rank",
-                partitions: int | None = None) -> DataFrame:
-    """1-based rank inside each ``group`` by ``order`` (order must make rows unique)."""
-    g = global_rank(df, group + order, "__g", partitions)
-    first = g.groupBy(*group).agg(F.min("__g").alias("__first"))
-    return (g.join(first, group)
-            .withColumn(out, (F.col("__g") - F.col("__first") + 1).cast("bigint"))
-            .drop("__g", "__first"))
+                partitions: int | None = None, size: str | None = None) -> DataFrame:
+    """1-based rank inside each ``group`` by ``order`` (order must make rows unique); ``size`` names a column for
+    the number of rows of the group.
+
+    No join on the group: rows are sorted by (group, order), so a partition is a sequence of group pieces, and a
+    row's rank is its place in its piece plus the rows of the group in earlier partitions.  A group that spans
+    partitions has one piece in each of them, so the pieces that need an offset are at most two per partition
+    (2·P rows, broadcast); all other groups lie inside one partition, where a window counts them."""
+    p = _partitions(df, partitions)
+    s = (df.repartitionByRange(p, *group, *order).sortWithinPartitions(*group, *order)
+         .withColumn("__mid", F.monotonically_increasing_id()))
+    s = cut_lineage(s.withColumn("__part", F.shiftright("__mid", LOW_BITS)))
+    pieces = s.groupBy("__part", *group).agg(F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__start"))
+    # Groups with pieces in several partitions: their first and last piece border a partition's edge.
+    edge = Window.partitionBy("__part")
+    pieces = pieces.withColumn("__edge", (F.col("__start") == F.min("__start").over(edge)) | (F.col("__start") == F.max("__start").over(edge)))
+    whole = Window.partitionBy(*group)
+    spread = (pieces.filter("__edge").withColumn("__pieces", F.count(F.lit(1)).over(whole)).filter("__pieces > 1")
+              .withColumn("__before", F.sum("__n").over(whole.orderBy("__part")) - F.col("__n"))
+              .withColumn("__size", F.sum("__n").over(whole)))
+    keep = ["__part", *group, "__before", "__size"]
+    alone = pieces.join(F.broadcast(spread.select("__part", *group)), ["__part", *group], "left_anti")
+    known = spread.select(*keep, "__start").unionByName(alone.select("__part", *group, F.lit(0).cast("long").alias("__before"), F.col("__n").alias("__size"), "__start"))
+    # (partition, group) is unique and its rows lie in one written partition: no group is larger than a partition here.
+    out_df = s.join(known, ["__part", *group])
+    out_df = out_df.withColumn(out, (F.col("__mid") - F.col("__start") + 1 + F.col("__before")).cast("bigint"))
+    if size:
+        out_df = out_df.withColumn(size, F.col("__size"))
+    return out_df.drop("__mid", "__part", "__before", "__size", "__start")
 
 
 def exact_percentile(df: DataFrame, col: str, p: float, order_keys: list[str]) -> F.Column:

@@ -29,9 +29,8 @@ def stratified_split(ratings: DataFrame, test_fraction: float = 0.2, seed: int =
     """Adds ``is_test``; in each stratum of ``by`` the first
     floor(f·n + 0.5) rows in md5('seed|user|item') order are test."""
     keyed = ratings.withColumn("__k", md5_order_key(seed, *keys))
-    ranked = rank_within(keyed, [by], ["__k", *keys], "__r")
-    sizes = ratings.groupBy(by).agg(F.count(F.lit(1)).alias("__n"))
-    return (ranked.join(sizes, by)
+    ranked = rank_within(keyed, [by], ["__k", *keys], "__r", size="__n")
+    return (ranked
             .withColumn("is_test", F.col("__r") <= _quota(F.col("__n"), test_fraction))
             .drop("__k", "__r", "__n"))
 
@@ -45,7 +44,7 @@ def sample_fraction(df: DataFrame, fraction: float = 0.1, seed: int = 42, keys:
     """Exactly floor(f·n + 0.5) rows, the first in md5 order (no replacement)."""
     keyed = df.withColumn("__k", md5_order_key(seed, *keys))
     ranked = global_rank(keyed, ["__k", *keys], "__r")
-    n = df.agg(F.count(F.lit(1))).scalar()
+    n = ranked.agg(F.max("__r")).scalar()
     return ranked.filter(F.col("__r") <= _quota(n, fraction)).drop("__k", "__r")
 
 
@@ -61,7 +60,7 @@ def kfold_assign(df: DataFrame, k: int = 5, order: list[str] | None = None) -> D
     ``fold`` = floor((pos - 1) · k / n) with pos the 1-based arrival position."""
     order = order or ARRIVAL
     ranked = global_rank(df, order, "__pos")
-    n = df.agg(F.count(F.lit(1))).scalar()
+    n = ranked.agg(F.max("__pos")).scalar()
     return ranked.withColumn("fold", F.floor((F.col("__pos") - 1) * k / n).cast("int")).drop("__pos")
 
 

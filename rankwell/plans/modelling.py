@@ -386,8 +386,8 @@ def _user_ctes():
   round(sqrt(greatest(0.0, d / 1000000.0)) / {recommend.PROFILE_UNITS}.0, 6) AS distance_to_centroid, 'v1' AS model_version FROM {assign})"""]
 
 
-_PREF = "pref AS (SELECT user_id, 63 - (greatest(" + ", ".join(
-    f"CAST(floor(p{c} * 1e6) AS BIGINT) * 64 + {63 - c}" for c in range(K_MAIN)) + ") % 64) AS cluster FROM profm)"
+_PREF = "pref AS (SELECT user_id, cluster, row_number() OVER (PARTITION BY user_id ORDER BY floor(p * 1e6) DESC, cluster) AS pref FROM (" + " UNION ALL ".join(
+    f"SELECT user_id, {c} AS cluster, p{c} AS p FROM profm" for c in range(K_MAIN)) + "))"
 
 ORACLE = {
     "M5_user_clusters": _q("SELECT * FROM uc", _user_ctes()),
@@ -401,9 +401,9 @@ FROM uc GROUP BY cluster_number, model_version""", _user_ctes()),
           GROUP BY t.item_id, a.cluster),
 rk AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY mean DESC, cnt DESC, item_id) AS slot FROM ist),
 {_PREF},
-cand AS (SELECT p.user_id, r.item_id, r.mean, r.slot FROM pref p JOIN rk r ON r.cluster = p.cluster
+cand AS (SELECT p.user_id, r.item_id, r.mean, r.slot, p.pref FROM pref p JOIN rk r ON r.cluster = p.cluster
          WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.user_id = p.user_id AND t.item_id = r.item_id)),
-top AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY slot) AS rank FROM cand)
+top AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY pref, slot) AS rank FROM cand)
 SELECT user_id, item_id, round(mean, 6) AS predicted_rating, round(mean, 6) AS recommendation_score, rank,
        'v1' AS model_version, 'kmeans' AS algorithm FROM top WHERE rank <= {N_MAIN}""", _knn_ctes()),
     "A16_utility_summary": _q("""
