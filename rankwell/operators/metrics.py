@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankwell.functions.columns import improvement_pct
-from rankwell.operators.ordering import exact_percentile
+from rankwell.operators.ordering import exact_percentiles
 
 
 def error_columns(pred: DataFrame) -> DataFrame:
@@ -31,8 +31,7 @@ def error_summary(pred: DataFrame, keys: list[str] = ("user_id", "item_id")) ->
     """Mean error, population std of the error, median and p90 of the
     absolute error (linear interpolation, exact rank-based percentiles)."""
     p = error_columns(pred)
-    med = exact_percentile(p, "abs_error", 0.5, list(keys))
-    p90 = exact_percentile(p, "abs_error", 0.9, list(keys))
+    med, p90 = exact_percentiles(p, "abs_error", [0.5, 0.9], list(keys))
     return p.agg(F.round(F.avg("error"), 6).alias("mean_error"),
                  F.round(F.stddev_pop("error"), 6).alias("std_error")).select(
         "mean_error", "std_error", F.round(med, 6).alias("median_abs_error"), F.round(p90, 6).alias("p90_abs_error"))

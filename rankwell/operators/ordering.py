@@ -84,21 +84,26 @@ def rank_within(df: DataFrame, group: list[str], order: list[str], out: str = "r
     return out_df.drop("__mid", "__part", "__before", "__size", "__start")
 
 
-def exact_percentile(df: DataFrame, col: str, p: float, order_keys: list[str]) -> F.Column:
-    """Exact percentile with linear interpolation (numpy 'linear' /
-    ``percentile_cont``) as a scalar-subquery Column.
+def exact_percentiles(df: DataFrame, col: str, ps: list[float], order_keys: list[str]) -> list[F.Column]:
+    """Exact percentiles with linear interpolation (numpy 'linear' /
+    ``percentile_cont``) as scalar-subquery Columns.
 
     Rank-based instead of Spark's ``percentile`` aggregate, whose buffer keeps
-    every distinct value in the final task: the values are globally ranked
-    (range-partitioned), and only the two rows around position (n − 1)·p are
-    read back.  ``order_keys`` make the order total."""
+    every distinct value in the final task: the values are globally ranked once
+    (range-partitioned), and only the two rows around each position (n − 1)·p
+    are read back.  ``order_keys`` make the order total."""
     vals = df.select(F.col(col).cast("double").alias("__x"), *order_keys).filter(F.col("__x").isNotNull())
-    n = vals.agg(F.count(F.lit(1))).scalar()
-    pos = (n - 1) * F.lit(float(p))
-    lo_rank = F.floor(pos) + 1
-    hi_rank = F.ceil(pos) + 1
     ranked = global_rank(vals, ["__x", *order_keys], "__r")
-    pair = ranked.filter((F.col("__r") == lo_rank) | (F.col("__r") == hi_rank)).agg(
-        F.min_by("__x", "__r").alias("lo"), F.max_by("__x", "__r").alias("hi"))
-    frac = pos - F.floor(pos)
-    return pair.select(F.col("lo") + (F.col("hi") - F.col("lo")) * frac).scalar()
+    n = ranked.agg(F.max("__r")).scalar()
+    out = []
+    for p in ps:
+        pos = (n - 1) * F.lit(float(p))
+        near = ranked.filter((F.col("__r") == F.floor(pos) + 1) | (F.col("__r") == F.ceil(pos) + 1)).agg(
+            F.min_by("__x", "__r").alias("lo"), F.max_by("__x", "__r").alias("hi"))
+        out.append(near.select(F.col("lo") + (F.col("hi") - F.col("lo")) * (pos - F.floor(pos))).scalar())
+    return out
+
+
+def exact_percentile(df: DataFrame, col: str, p: float, order_keys: list[str]) -> F.Column:
+    """One percentile of ``exact_percentiles``."""
+    return exact_percentiles(df, col, [p], order_keys)[0]

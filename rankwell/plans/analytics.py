@@ -27,22 +27,11 @@ def q_item_stats(spark, sf):
     return stats.item_stats(r, i)
 
 
-def q_item_stats_early(spark, sf):
-    """A1 / J1 against ratings before 1996: exercises unrated items in the left join."""
-    r, _, i = _data(spark, sf)
-    return stats.item_stats(r.filter("rated_at < TIMESTAMP_NTZ '1996-01-01 00:00:00'"), i)
-
-
 def q_user_stats(spark, sf):
     r, u, _ = _data(spark, sf)
     return stats.user_stats(r, u)
 
 
-def q_user_stats_early(spark, sf):
-    r, u, _ = _data(spark, sf)
-    return stats.user_stats(r.filter("rated_at < TIMESTAMP_NTZ '1996-01-01 00:00:00'"), u)
-
-
 def q_global_summary(spark, sf):
     r, u, i = _data(spark, sf)
     return stats.global_summary(r, u, i)
@@ -124,9 +113,7 @@ QUERIES = {
     "A3_top_items": q_top_items,
     "S7_read_users_ordered": q_read_users_ordered,
     "A1_item_stats": q_item_stats,
-    "A1_item_stats_early": q_item_stats_early,
     "A2_user_stats": q_user_stats,
-    "A2_user_stats_early": q_user_stats_early,
     "A5_global_summary": q_global_summary,
     "A6_rating_distribution": q_rating_distribution,
     "A6_gender_distribution": q_gender_distribution,
@@ -143,8 +130,6 @@ QUERIES = {
     "P7_high_ratings": q_high_ratings,
 }
 
-_EARLY = "rated_at < TIMESTAMP '1996-01-01 00:00:00'"
-
 _ITEM_STATS = """
 SELECT i.item_id, i.title, CAST(count(r.rating) AS BIGINT) AS total_ratings,
        round(avg(r.rating), 6) AS avg_rating, min(r.rating) AS min_rating, max(r.rating) AS max_rating,
@@ -158,8 +143,6 @@ SELECT u.user_id, u.age, u.gender, u.occupation, CAST(count(r.rating) AS BIGINT)
 FROM users u LEFT JOIN {src} r ON u.user_id = r.user_id
 GROUP BY u.user_id, u.age, u.gender, u.occupation"""
 
-_EARLY_CTE = f"early AS (SELECT * FROM ratings WHERE {_EARLY})"
-
 _GENRE_UNION = " UNION ALL ".join(
     f"SELECT '{g}' AS genre, CAST(sum(CAST(\"{g}\" AS INTEGER)) AS BIGINT) AS count FROM items" for g in GENRES)
 
@@ -186,9 +169,7 @@ FROM ratings r JOIN items i ON i.item_id = r.item_id
 GROUP BY r.item_id, i.title HAVING count(*) >= {TOP_MIN_RATINGS}
 ORDER BY avg(r.rating) DESC, count(*) DESC, r.item_id LIMIT {TOP_LIMIT}"""),
     "A1_item_stats": with_ctes(_ITEM_STATS.format(src="ratings")),
-    "A1_item_stats_early": with_ctes(_ITEM_STATS.format(src="early"), _EARLY_CTE),
     "A2_user_stats": with_ctes(_USER_STATS.format(src="ratings")),
-    "A2_user_stats_early": with_ctes(_USER_STATS.format(src="early"), _EARLY_CTE),
     "A5_global_summary": with_ctes("""
 SELECT (SELECT count(*) FROM ratings) AS n_ratings, (SELECT count(*) FROM users) AS n_users,
        (SELECT count(*) FROM items) AS n_items,

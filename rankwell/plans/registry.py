@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-PLAN_MODULES = ["analytics", "etl", "splitting", "modelling", "learning"]
+PLAN_MODULES = ["analytics", "etl", "splitting", "modelling", "learning", "extras"]
 
 
 def _modules():

@@ -62,6 +62,11 @@ def q_leave_n_out_capped(spark, sf):
     return splits.leave_n_out(A.ratings(spark, sf), 11, 20, 5000).select("user_id", "item_id", "rating", "is_test")
 
 
+def q_leave_n_out_all(spark, sf):
+    """X5 without a limit on all test rows."""
+    return splits.leave_n_out(A.ratings(spark, sf), 1, 10).select("user_id", "item_id", "rating", "is_test")
+
+
 QUERIES = {
     "X1_stratified_split": q_split,
     "X1_split_counts": q_split_counts,
@@ -71,6 +76,7 @@ QUERIES = {
     "A21_fold_base_sizes": q_fold_base_sizes,
     "X5_leave_n_out_ua": q_leave_n_out_ua,
     "X5_leave_n_out_capped": q_leave_n_out_capped,
+    "X5_leave_n_out_all": q_leave_n_out_all,
 }
 
 MD5 = f"md5(concat_ws('|', '{SEED}', CAST(user_id AS VARCHAR), CAST(item_id AS VARCHAR)))"
@@ -93,13 +99,14 @@ SQL_KFOLD = f"""kfold AS (
   FROM ratings)"""
 
 
-def _lno(start, stop, cap):
+def _lno(start, stop, cap=None):
+    inside = f"o.place <= {cap}" if cap else "o.place IS NOT NULL"
     return f"""
-, c AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY rated_at, user_id, item_id) AS c FROM ratings),
-e AS (SELECT user_id, item_id, row_number() OVER (ORDER BY rated_at, user_id, item_id) AS e
-      FROM c WHERE c BETWEEN {start} AND {stop})
-SELECT c.user_id, c.item_id, c.rating, coalesce(e.e <= {cap}, false) AS is_test
-FROM c LEFT JOIN e ON c.user_id = e.user_id AND c.item_id = e.item_id"""
+, arrival AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY rated_at, user_id, item_id) AS nth FROM ratings),
+offered AS MATERIALIZED (SELECT user_id, item_id, row_number() OVER (ORDER BY rated_at, user_id, item_id) AS place
+  FROM arrival WHERE nth BETWEEN {start} AND {stop})
+SELECT a.user_id, a.item_id, a.rating, coalesce({inside}, false) AS is_test
+FROM arrival a LEFT JOIN offered o ON a.user_id = o.user_id AND a.item_id = o.item_id"""
 
 
 ORACLE = {
@@ -116,4 +123,5 @@ SELECT CAST(f.range AS INTEGER) AS fold, (SELECT count(*) FROM kfold WHERE fold
 FROM range({FOLDS}) f""", SQL_KFOLD),
     "X5_leave_n_out_ua": with_ctes(_lno(1, 10, 100000)),
     "X5_leave_n_out_capped": with_ctes(_lno(11, 20, 5000)),
+    "X5_leave_n_out_all": with_ctes(_lno(1, 10)),
 }
