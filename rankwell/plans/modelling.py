@@ -13,6 +13,7 @@ from rankwell.sources.adapter import with_ctes
 
 K_MAIN = 5
 N_MAIN = 10
+#: The swept numbers of clusters, the grid and the ranks of the evaluation.
 SWEEP_KS = list(range(2, 11))
 GRID_KS = [2, 5, 8, 12, 15]
 GRID_NS = [5, 10, 20]
@@ -22,15 +23,25 @@ ORACLE_STEPS = 40
 USER_STEPS = 60
 RANK_KS = [5, 10, 20]
 
+# Frames that several queries of one session share; only those of the last data set are kept.
 _memo: dict = {}
 
 
+def _stamp(spark, sf):
+    """Sizes and modification times of the files that the ratings come from."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for table in ("lineitem", "orders"):
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf}/{table}.parquet")
+        out += [(f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in path.getFileSystem(conf).listStatus(path)]
+    return tuple(out)
+
+
 def _key(spark, sf, *rest):
-    try:
-        app = spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001
-        app = None
-    return (id(spark), app, sf) + rest
+    data = (spark.sparkContext.applicationId, sf, _stamp(spark, sf))
+    for old in [k for k in _memo if k[0] != data]:
+        del _memo[old]
+    return (data,) + rest
 
 
 def split_frames(spark, sf):
