@@ -27,6 +27,16 @@ def rmse_mae(pred: DataFrame) -> DataFrame:
                     F.round(F.avg(F.abs(e)), 6).alias("mae"))
 
 
+def rmse_mae_many(pred: DataFrame, ns: list[int]) -> DataFrame:
+    """E1 / E2 of every ``predicted_{n}`` column in one pass: rows (n, rmse, mae)."""
+    aggs = []
+    for n in ns:
+        e = F.col("rating") - F.col(f"predicted_{n}")
+        aggs += [F.round(F.sqrt(F.avg(e * e)), 6).alias(f"r{n}"), F.round(F.avg(F.abs(e)), 6).alias(f"m{n}")]
+    rows = ", ".join(f"{n}, r{n}, m{n}" for n in ns)
+    return pred.agg(*aggs).selectExpr(f"stack({len(ns)}, {rows}) as (n, rmse, mae)")
+
+
 def error_summary(pred: DataFrame, keys: list[str] = ("user_id", "item_id")) -> DataFrame:
     """Mean error, population std of the error, median and p90 of the
     absolute error (linear interpolation, exact rank-based percentiles)."""

@@ -76,10 +76,14 @@ def _topn_tile(keys, qdf: pd.DataFrame, rdf: pd.DataFrame, n: int, k: int) -> pd
             sim = sim + np.multiply.outer(zq[:, c], zr[:, c])
         sim = quantize_sim(sim)
         m = min(n, sim.shape[1])
-        # Stable sort on -sim keeps the neighbour-id order among equal similarities.
-        top = np.argsort(-sim, axis=1, kind="stable")[:, :m]
-        rows = np.repeat(np.arange(len(qi)), m)
-        cols = top.reshape(-1)
+        # The m-th best similarity of each query by partition, then only what reaches it is sorted: by query,
+        # similarity (descending) and place, which is the order of neighbour ids.
+        least = -np.partition(-sim, m - 1, axis=1)[:, m - 1]
+        rows, cols = np.nonzero(sim >= least[:, None])
+        order = np.lexsort((cols, -sim[rows, cols], rows))
+        rows, cols = rows[order], cols[order]
+        keep = np.arange(len(rows)) - np.searchsorted(rows, rows, "left") < m
+        rows, cols = rows[keep], cols[keep]
         out.append(pd.DataFrame({
             "user_id": users_all[qi][rows],
             "item_id": np.full(len(rows), it),
@@ -156,11 +160,24 @@ def fallback_means(train: DataFrame, mode: str = "observed") -> tuple[DataFrame,
     return im, um, F.lit(3.0)
 
 
+def _source_and_value(ss: F.Column, ws: F.Column, const: F.Column) -> tuple[F.Column, F.Column]:
+    """The fallback rules of ``predict``, from the sums and the joined means."""
+    source = (F.when(F.col("user_mean").isNull(), F.lit("cold_user"))
+              .when(F.col("item_mean").isNull(), F.lit("cold_item"))
+              .when(F.coalesce(ss, F.lit(0.0)) == 0, F.lit("zero_similarity"))
+              .otherwise(F.lit("knn")))
+    value = (F.when(F.col("user_mean").isNull(), F.coalesce(F.col("item_mean"), const))
+             .when(F.col("item_mean").isNull(), F.col("user_mean"))
+             .when(F.coalesce(ss, F.lit(0.0)) == 0, F.col("item_mean"))
+             .otherwise(clamp(ws / ss)))
+    return source, value
+
+
 def predict(pairs: DataFrame, train: DataFrame, unit: DataFrame, k: int, n: int = 10,
             fallback: str = "observed", neighbours: DataFrame | None = None) -> DataFrame:
     """R1 + R2: one prediction per pair with its ``source``:
 
-    cold_user       user has no training rating  -> item mean (3.0 if the item is cold too)
+    cold_user       user has no training rating (no mean) -> item mean (3.0 if the item is cold too)
     cold_item       item has no training rating  -> user mean
     zero_similarity Σ|s| = 0 over the neighbours -> item mean
     knn             clamp(Σ s·r / Σ|s|, 1, 5)
@@ -169,20 +186,24 @@ def predict(pairs: DataFrame, train: DataFrame, unit: DataFrame, k: int, n: int
     agg = (nb.filter(F.col("rank") <= n).groupBy("user_id", "item_id")
            .agg(F.sum(F.col("sim") * F.col("rating")).alias("ws"), F.sum(F.abs("sim")).alias("ss")))
     im, um, const = fallback_means(train, fallback)
-    known_u = train.select("user_id").distinct().withColumn("ku", F.lit(True))
-    base = (pairs.join(agg, ["user_id", "item_id"], "left")
-            .join(im, "item_id", "left").join(um, "user_id", "left")
-            .join(known_u, "user_id", "left"))
-    source = (F.when(F.col("ku").isNull(), F.lit("cold_user"))
-              .when(F.col("item_mean").isNull(), F.lit("cold_item"))
-              .when(F.coalesce(F.col("ss"), F.lit(0.0)) == 0, F.lit("zero_similarity"))
-              .otherwise(F.lit("knn")))
-    value = (F.when(F.col("source") == "cold_user", F.coalesce(F.col("item_mean"), const))
-             .when(F.col("source") == "cold_item", F.col("user_mean"))
-             .when(F.col("source") == "zero_similarity", F.col("item_mean"))
-             .otherwise(clamp(F.col("ws") / F.col("ss"))))
-    return (base.withColumn("source", source).withColumn("predicted", value)
-            .drop("ws", "ss", "item_mean", "user_mean", "ku"))
+    base = pairs.join(agg, ["user_id", "item_id"], "left").join(im, "item_id", "left").join(um, "user_id", "left")
+    source, value = _source_and_value(F.col("ss"), F.col("ws"), const)
+    return base.withColumn("source", source).withColumn("predicted", value).drop("ws", "ss", "item_mean", "user_mean")
+
+
+def predict_many(pairs: DataFrame, train: DataFrame, neighbours: DataFrame, ns: list[int], fallback: str = "observed") -> DataFrame:
+    """``predict`` for several numbers of neighbours at once: columns ``predicted_{n}``.
+
+    One pass over the neighbours (conditional sums) and one join of the fallback means for all of them."""
+    sums = []
+    for n in ns:
+        near = F.col("rank") <= n
+        sums += [F.sum(F.when(near, F.col("sim") * F.col("rating"))).alias(f"ws{n}"), F.sum(F.when(near, F.abs("sim"))).alias(f"ss{n}")]
+    im, um, const = fallback_means(train, fallback)
+    base = (pairs.join(neighbours.groupBy("user_id", "item_id").agg(*sums), ["user_id", "item_id"], "left")
+            .join(im, "item_id", "left").join(um, "user_id", "left"))
+    return base.select("user_id", "item_id", "rating",
+                       *[_source_and_value(F.col(f"ss{n}"), F.col(f"ws{n}"), const)[1].alias(f"predicted_{n}") for n in ns])
 
 
 def baseline_predict(pairs: DataFrame, train: DataFrame) -> DataFrame:

@@ -188,18 +188,14 @@ def q_compare(spark, sf):
 
 
 def grid(spark, sf):
-    """RMSE for every (K, N).  One side-by-side K-Means for all K, one
-    top-max(N) neighbour search per K, the N values are conditional sums."""
+    """RMSE for every (K, N).  One side-by-side K-Means for all K; per K one
+    top-max(N) neighbour search and one plan whose conditional sums give every N."""
     train, test = split_frames(spark, sf)
-    nmax = max(GRID_NS)
     out = None
     for k in GRID_KS:
-        unit = unit_profiles(spark, sf, k, GRID_KS)
-        nb = neighbours(spark, sf, k, nmax, GRID_KS)
-        for n in GRID_NS:
-            p = predict.predict(test, train, unit, k, n, "observed", neighbours=nb)
-            row = metrics.rmse_mae(p).select(F.lit(k).alias("k"), F.lit(n).alias("n"), "rmse", "mae")
-            out = row if out is None else out.unionByName(row)
+        p = predict.predict_many(test, train, neighbours(spark, sf, k, max(GRID_NS), GRID_KS), GRID_NS)
+        row = metrics.rmse_mae_many(p, GRID_NS).select(F.lit(k).alias("k"), "n", "rmse", "mae")
+        out = row if out is None else out.unionByName(row)
     return out
 
 
