@@ -236,3 +236,21 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def op1_substring_dedup(spark, sf_dir: str) -> DataFrame:
     out = substring_dedup(read(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+ORACLE_SQL = """
+WITH w AS MATERIALIZED (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+hashed AS MATERIALIZED (
+  SELECT doc_id, list_transform(range(1, len(ws) - 48), lambda i: hash(list_slice(ws, i, i + 49))) AS hs FROM w WHERE len(ws) >= 50),
+win AS MATERIALIZED (SELECT doc_id, unnest(hs) AS h, unnest(range(1, len(hs) + 1)) AS i FROM hashed),
+owner AS MATERIALIZED (SELECT h, min(doc_id) AS first_doc FROM win GROUP BY h),
+gone AS MATERIALIZED (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS pos FROM (SELECT win.doc_id, win.i FROM win JOIN owner ON win.h = owner.h WHERE first_doc < doc_id)),
+word AS MATERIALIZED (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS pos FROM w WHERE len(ws) > 0),
+kept AS MATERIALIZED (
+  SELECT word.doc_id, string_agg(word.word, ' ' ORDER BY word.pos) AS text, count(*) AS n
+  FROM word LEFT JOIN gone ON gone.doc_id = word.doc_id AND gone.pos = word.pos WHERE gone.pos IS NULL GROUP BY word.doc_id)
+SELECT w.doc_id, len(ws) AS n_words, len(ws) - coalesce(kept.n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id
+"""
