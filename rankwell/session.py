@@ -19,7 +19,7 @@ DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 # Only applied when this helper starts the JVM (local runs and tests).
-LOCAL_DEFAULTS = {"spark.driver.memory": "16g"}
+LOCAL_DEFAULTS = {"spark.driver.memory": "12g"}
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
@@ -37,10 +37,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    try:
-        spark.sparkContext.setLogLevel("ERROR")
-    except Exception:  # noqa: BLE001
-        pass
+    spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -48,26 +45,17 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's shared ``spark.checkpoint.dir``; only when it is unset
     (local tests) fall back to a fresh scratch folder."""
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
-        sc = None
-    current = sc.getCheckpointDir() if sc is not None else None
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured and sc is not None and not re.match(r"local(\[|$)", sc.master):
+    if not configured and not re.match(r"local(\[|$)", sc.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not configured:
         configured = tempfile.mkdtemp(prefix="rankwell-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        try:
-            spark.conf.set("spark.checkpoint.dir", configured)
-        except Exception:  # noqa: BLE001 - core conf, may be read-only
-            pass
-    if sc is not None:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir()
-    return configured
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

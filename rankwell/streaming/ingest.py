@@ -4,8 +4,10 @@ New tab-separated rating files dropped into a landing folder are parsed and
 appended to the ratings table with the same first-write-wins rule as the
 batch loader: inside a micro-batch the earliest event per (user, item) wins,
 and keys already stored are skipped.  The stream's checkpoint (in the shared
-checkpoint folder) makes a restarted query resume where it stopped, and the
-anti join makes a replayed micro-batch insert nothing twice.
+checkpoint folder) makes a restarted query resume where it stopped.  Each
+micro-batch is one partition ``batch_id`` of the table, written with overwrite,
+so a replayed batch replaces what it wrote before; the anti join reads the key
+columns of the other batches only.
 """
 
 from __future__ import annotations
@@ -25,9 +27,10 @@ def _batch_writer(table_path: str):
         spark = batch.sparkSession
         parsed = RF.parse_ratings(batch)
         good, _ = quality.check_ratings(parsed)
-        existing = spark.read.parquet(table_path) if _exists(spark, table_path) else good.limit(0)
+        existing = (spark.read.parquet(table_path).filter(F.col("batch_id") != batch_id)
+                    if _exists(spark, table_path) else good.limit(0))
         new = quality.insert_new(good, existing, KEYS, ["timestamp", "rating"])
-        new.write.mode("append").parquet(table_path)
+        new.write.mode("overwrite").parquet(f"{table_path}/batch_id={batch_id}")
     return write
 
 
