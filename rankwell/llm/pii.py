@@ -63,7 +63,7 @@ CONTEXT = {
 }
 #: What a pattern cannot do without; texts that lack it skip the pattern.
 NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+", "person": None, "number": None}
-PART = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
+PART = r"(?:0++(?![0-9])|0*+(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9][0-9]?))"
 _SPAN = "array<struct<start:int,end:int,value:string,left:string>>"
 ROUNDS = 50
 

@@ -177,6 +177,16 @@ def test_pii_base_spans_match_brute_force(spark):
         assert [(s.start, s.kind, s.end) for s in r.spans if s.base] == brute_pii(PII_TEXTS[r.doc_id] or "")
 
 
+def test_addresses_with_zero_parts(spark):
+    long = "0" * 3000
+    texts = ["10.0.0.1", "0.0.0.0 and 127.0.0.1", "000.1.1.1 192.168.0.1", f"{long}.{long}1.{long}255.0", f"{long}256.0.0.0", "0.0.0.256 00.00.0300.0 1.0.0", "100.200.250.09"]
+    df = spark.createDataFrame(list(enumerate(texts)), DOC)
+    got = {r.doc_id: [(s.start, s.kind, s.end) for s in r.spans if s.base] for r in pii.find_pii(df).collect()}
+    assert got == {i: brute_pii(t) for i, t in enumerate(texts)}
+    assert [len([s for s in got[i] if s[1] == 1]) for i in range(len(texts))] == [1, 2, 2, 1, 0, 0, 1]
+    assert pii.mask_pii(df).filter("doc_id = 1").first().text == "[IP] and [IP]"
+
+
 def test_pii_added_spans_and_masks(spark):
     texts = ["Please contact Dr. Smith or call (555) 123-4567 now", "the and of it", "mail a@b.org, card 4111 1111 1111 1111", None]
     df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, spans string")
