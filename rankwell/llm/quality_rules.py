@@ -13,9 +13,15 @@ not far from the first round's references, so that junk does not blur them; text
 a list of common words use the sum over all languages and the character classes only. The Jensen-Shannon
 distance (base 2, so between 0 and 1) of a histogram and its reference must not exceed a threshold. Guards:
 short texts have noisy histograms, so the distance is only judged from ``MIN_CHARS`` characters and
-``MIN_WORDS`` words on, and the thresholds widen by ``NOISE`` times the expected sampling distance,
+``MIN_WORDS`` words on. The character threshold widens by ``NOISE`` times the expected sampling distance,
 ``sqrt(bins / (8 ln 2 * count))``.
 
+The word threshold is ``WORD_SHARE`` of the distance that a text without a common word has in this language. Its square
+widens by the squared sampling distance, which is ``chi-square / (8 ln 2 * words)`` with one degree of freedom less than
+bins, taken ``NOISE`` standard deviations up. 17 bins tell such a text from about 80 words on, so the two bins common and
+other are judged as well (only texts with too few common words), which takes about 20. The references' first round
+judges words by these two bins alone: a reference that junk fills to more than a half is far from good texts, too.
+
 Nothing here joins by a key with hot values: references are one row per listed language (a fixed number),
 which is broadcast. Windows are hashed to 64 bits and compared within one text only.
 
@@ -25,6 +31,8 @@ an empty table gives an empty result; other columns are ignored, or kept by ``ke
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,7 +50,7 @@ N_COMMON = 16
 MIN_CHARS = 40
 MIN_WORDS = 20
 MAX_CHAR_DISTANCE = 0.12
-MAX_WORD_DISTANCE = 0.45
+WORD_SHARE = 0.5
 #: Sampling distances added to a threshold.
 NOISE = 3.0
 #: Java regular expressions.
@@ -126,7 +134,7 @@ def js_distance(counts: Column, reference: Column) -> Column:
 def language_references(features: DataFrame) -> DataFrame:
     """One row per listed language and one (lang = '') for all: histograms summed over documents that pass the
     base rules, then again over those of them that are within the thresholds of the first sums."""
-    first = judge(features, _references(features)).filter("kept").select(features.columns)
+    first = _judged(features, _references(features)).filter("not (base_failed or far or few)").select(features.columns)
     return _references(first)
 
 
@@ -146,18 +154,32 @@ def _with_rest(common: Column, words: Column) -> Column:
     return let(common, lambda c: F.concat(c, F.array(words - F.aggregate(c, F.lit(0).cast("long"), lambda a, v: a + v))))
 
 
-def judge(features: DataFrame, references: DataFrame) -> DataFrame:
-    """``features`` with char_distance, word_distance, base_failed and kept."""
+def _judged(features: DataFrame, references: DataFrame) -> DataFrame:
+    """``features`` with char_distance, word_distance, base_failed and what speaks against a text: far (characters),
+    odd (words) and few (too few common words)."""
     known = F.col("lang").isin(*COMMON_WORDS)
     out = features.withColumn("ref_lang", F.when(known, F.col("lang")).otherwise("")).join(F.broadcast(references), "ref_lang", "left")
     noise = lambda bins, n: NOISE * F.sqrt(F.lit(bins / (8 * 0.6931471805599453)) / F.greatest(n, F.lit(1)))
+    # Fisher's approximation of the chi-square quantile.
+    most = lambda bins, n: F.lit((math.sqrt(2 * bins - 3) + NOISE) ** 2 / 2 / (8 * math.log(2))) / F.greatest(n, F.lit(1))
+    two = lambda common, n: let(F.aggregate(common, F.lit(0).cast("long"), lambda a, v: a + v), lambda c: F.array(c, n - c))
+    ref_two = two(F.col("ref_common"), F.col("ref_words"))
     out = out.withColumns({
         "char_distance": js_distance(F.col("char_classes"), F.col("ref_chars")),
         "word_distance": F.when(known, js_distance(_with_rest(F.col("common"), F.col("n_words")), _with_rest(F.col("ref_common"), F.col("ref_words")))),
+        "__two": F.when(known, two(F.col("common"), F.col("n_words"))), "__ref_two": F.when(known, ref_two),
+        "__limit": F.when(known, WORD_SHARE * js_distance(F.array(F.lit(0), F.lit(1)), ref_two)),
         "base_failed": base_failed()})
     far = (F.col("word_chars") >= MIN_CHARS) & (F.col("char_distance") > MAX_CHAR_DISTANCE + noise(N_CLASSES, F.col("word_chars")))
-    odd = (F.col("n_words") >= MIN_WORDS) & (F.col("word_distance") > MAX_WORD_DISTANCE + noise(N_COMMON + 1, F.col("n_words")))
-    return out.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(far, F.lit(False)) & ~F.coalesce(odd, F.lit(False)))
+    beyond = lambda d, bins: (F.col("n_words") >= MIN_WORDS) & (d * d > F.pow("__limit", F.lit(2)) + most(bins, F.col("n_words")))
+    fewer = F.get("__two", F.lit(0)) * F.col("ref_words") < F.get("__ref_two", F.lit(0)) * F.col("n_words").cast("double")
+    judged = {"far": far, "odd": beyond(F.col("word_distance"), N_COMMON + 1), "few": fewer & beyond(js_distance(F.col("__two"), F.col("__ref_two")), 2)}
+    return out.withColumns({k: F.coalesce(v, F.lit(False)) for k, v in judged.items()}).drop("__two", "__ref_two", "__limit")
+
+
+def judge(features: DataFrame, references: DataFrame) -> DataFrame:
+    """``features`` with char_distance, word_distance, base_failed and kept."""
+    return _judged(features, references).withColumn("kept", F.expr("not (base_failed or far or odd or few)")).drop("far", "odd", "few")
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang") -> DataFrame:

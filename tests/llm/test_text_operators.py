@@ -130,6 +130,25 @@ def test_quality_features_match_brute_force(spark, corpus):
     assert not got[501].kept
 
 
+def test_texts_without_common_words_are_rejected(spark):
+    """Word salad in plain letters, short and long, and another language, in a language where most texts are prose or most are salad."""
+    import random
+    rng = random.Random(11)
+    stem = lambda: "".join(rng.choice("abdeilmnorstu") for _ in range(rng.randint(5, 8)))
+    pick = lambda lang: rng.choice(quality_rules.COMMON_WORDS[lang]) if rng.random() < 0.21 else stem()
+    prose = lambda n, lang="en": " ".join(pick(lang) for _ in range(n))
+    salad = lambda n: " ".join(stem() for _ in range(n))
+    good = [(i, prose(rng.choice([30, 60, 100, 300, 1000]))) for i in range(120)]
+    junk = [(1000 + i, salad(n)) for i, n in enumerate([30, 50, 91, 200, 2000])] + [(2000, prose(400, "de"))]
+    most = [(3000 + i, salad(400)) for i in range(150)]
+    for rows in (good + junk, good + junk + most):
+        df = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, lang string")
+        kept = {r.doc_id for r in quality_rules.quality_rules(df).filter("kept").collect()}
+        assert not kept & {i for i, _ in junk + most}
+        assert len(kept) >= 119
+        assert {r.doc_id for r in quality_rules.keep_quality(df).collect()} == kept
+
+
 def test_js_distance_matches_numpy(spark):
     import numpy as np
     pairs = [([3, 0, 7], [1, 1, 8]), ([5, 5, 0], [0, 0, 9]), ([2, 2, 2], [2, 2, 2])]
