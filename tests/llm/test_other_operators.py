@@ -204,6 +204,24 @@ def test_perplexity_matches_the_definition(spark):
     assert kneser_ney.perplexity_filter(empty, labels.limit(0)).count() == 0
 
 
+def test_junk_does_not_move_the_threshold(spark, monkeypatch):
+    """More junk than prose in a language, and a sample that is smaller than the frequent language's trusted texts."""
+    monkeypatch.setattr(kneser_ney, "TRUSTED_DOCS", 20)
+    rng = random.Random(12)
+    prose = lambda words, n: " ".join(rng.choice(words.split()) for _ in range(n))
+    rows = [(i, prose("the of and to in that is was he for", 60), "en") for i in range(60)]
+    rows += [(100 + i, prose("der die das und nicht ein", 60), "de") for i in range(6)]
+    rows += [(200 + i, "".join(rng.choice("xqzjkvw0123456789 #") for _ in range(300)), "en") for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in [*range(40), *range(100, 103)]], "doc_id long, quality int")
+    out = {r.doc_id: r for r in kneser_ney.perplexity_filter(docs, labels).collect()}
+    assert len(out) == len(rows) and {i for i, r in out.items() if r.kept} == {i for i, _, _ in rows if i < 200}
+    assert all(out[100 + i].score is not None for i in range(6))
+    base = docs.selectExpr("doc_id", "xxhash64(lang) as lang")
+    sample = kneser_ney._sample(base, labels, "quality = 1").collect()
+    assert len(sample) == 20 and {100, 101, 102} < {r.doc_id for r in sample}
+
+
 # --- packing
 
 def brute_best_fit(items, capacity):
