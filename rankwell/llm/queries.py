@@ -15,6 +15,9 @@ MODULES = {
     "op4_sentencepiece": "sentencepiece_fst",
     "op7_kneser_ney": "kneser_ney",
     "op1_substring_dedup": "substring_dedup",
+    "op11_best_fit_shards": "best_fit_shards",
+    "op12_whitening": "whitening",
+    "op13_prefix_trie": "prefix_trie",
 }
 
 
