@@ -90,6 +90,40 @@ def test_ngram_join_defined_cases(spark):
     assert ngram_join.ngram_join(spark.createDataFrame([], DOC)).count() == 0
 
 
+def test_keep_one_tells_documents_of_one_id_apart(spark):
+    one, two = (" ".join(f"{c}{i}" for i in range(40)) for c in "xy")
+    rows = [(1, one, "a"), (1, two, "b"), (2, one + " more", "c"), (2, "something else entirely of a few words", "d"), (1, one, "e"), (None, two, "f"), (None, None, "g")]
+    docs = spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, tag string, text_tag int, __kept int")
+    kept = ngram_join.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == sorted(
+        [("1", one), ("1", two), ("2", "something else entirely of a few words"), ("None", None)], key=str)
+
+
+def test_needed_blocks_are_a_lower_bound():
+    """Linked sets have as many blocks in common as both need, in all of them and in the probe blocks of any common order."""
+    import numpy as np
+    rng = np.random.default_rng(2)
+    checked = 0
+    for percent in (80, 85):
+        for size in (9, 30, 70, 200, 900, 3000):
+            for _ in range(40):
+                a = np.unique(rng.integers(0, 2**63, size, dtype=np.uint64))
+                change = int(len(a) * rng.uniform(0, (100 - percent) / 100))
+                b = np.unique(np.concatenate((a[rng.permutation(len(a))[change:]], rng.integers(0, 2**63, int(rng.integers(0, change + 1)), dtype=np.uint64))))
+                both = len(np.intersect1d(a, b))
+                if 100 * both < percent * (len(a) + len(b) - both) or len(a) == len(b) == both:
+                    continue
+                sides = [set(np.concatenate([ngram_join.class_blocks(v, c, percent) for c in ngram_join.set_classes(len(v), percent)]).tolist()) for v in (a, b)]
+                needs = [ngram_join.needed_blocks(v, percent) for v in (a, b)]
+                assert len(sides[0] & sides[1]) >= max(needs) >= 1
+                order = {x: rng.random() for x in sides[0] | sides[1]}
+                probes = [set(sorted(s, key=order.get)[:len(s) - n // 2]) for s, n in zip(sides, needs)]
+                assert len(probes[0] & probes[1]) >= max(n - n // 2 for n in needs)
+                checked += 1
+    assert checked > 100
+
+
 def test_blocks_never_miss_a_link():
     """Any two sets over the threshold agree in a block, whatever they differ in."""
     import numpy as np
