@@ -191,14 +191,9 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def keep_quality(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows of ``docs`` that the rules keep, all columns as they are."""
     key = fresh(docs, "__row")
-    features = text_features(docs.withColumn(key, F.struct(*docs.columns)), key, text_col, lang_col)
-    counts = text_features(docs.withColumn(key, F.lit(0)), key, text_col, lang_col)
-    return judge(features, language_references(cut_lineage(language_inputs(counts)))).filter("kept").select("doc_id.*")
-
-
-def language_inputs(features: DataFrame) -> DataFrame:
-    """What the references need of the features."""
-    return features.select("lang", "n_words", "word_chars", "n_repeat_words", "char_classes", "common")
+    # Written once with the row: a filter on the verdict would otherwise have the features computed again for the rows it keeps.
+    features = cut_lineage(text_features(docs.withColumn(key, F.struct(*docs.columns)), key, text_col, lang_col))
+    return judge(features, language_references(features.drop("doc_id"))).filter("kept").select("doc_id.*")
 
 
 def op5_quality_rules(spark, sf_dir: str) -> DataFrame:
