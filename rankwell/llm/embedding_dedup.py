@@ -16,7 +16,7 @@ its pairs. A pair that meets in several cells is counted in the first only, whic
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components, and rows with a null
 label or id, link with nothing (n_links 0, component the row's own id, kept unless the id is null); vectors of different length never link;
-repeated rows are vectors of their own; an empty table gives an empty result; other columns are ignored.
+repeated rows, and rows that share an id, are vectors of their own; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -232,7 +232,8 @@ def embedding_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         "key", F.when(F.col("packed").isNotNull(), F.md5(F.concat(F.col("label").cast("string").cast("binary"), F.lit(b":"), "packed")))))
     total = rows.count()
     classes = cut_lineage(rows.filter("key is not null").groupBy("key").agg(
-        F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("label").alias("label"), F.first("packed").alias("packed")))
+        F.min("vec_id").alias("smallest"), F.count(F.lit(1)).alias("copies"), F.first("label").alias("label"), F.first("packed").alias("packed"))
+        .withColumn("rep", F.xxhash64("key")))  # a class by its vector: an id may come with several vectors
 
     places = cut_lineage(map_batches(classes.select("rep", "label", "packed"), _places, "cell long, rep long, home boolean"))
     cells = cut_lineage(places.groupBy("cell").agg(F.count(F.lit(1)).alias("members"), F.count_if("home").alias("homes")).filter(
@@ -248,9 +249,11 @@ def embedding_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
 
     linked = found.groupBy("rep").agg(F.sum("links").alias("links"))
     labels = connected_components(found.select(F.col("rep").alias("a"), F.col("low").alias("b")))
-    known = cut_lineage(classes.select("key", "rep", "copies").join(linked, "rep", "left").join(
+    known = cut_lineage(classes.select("key", "rep", "copies", "smallest").join(linked, "rep", "left").join(
         labels.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "key", "copies", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("label", "rep").alias("component_id")))
+        "key", "copies", "smallest", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("label", "rep").alias("component")))
+    components = cut_lineage(known.groupBy("component").agg(F.min("smallest").alias("component_id"), F.count(F.lit(1)).alias("classes")))
+    known = cut_lineage(attach(known, components, "component", "classes", known.count()).drop("component", "smallest"))
     out = attach(rows.select("vec_id", "key"), known, "key", "copies", total)
     component = F.coalesce("component_id", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),

@@ -6,11 +6,14 @@
 2. Subtrees on at least ``SHARE`` of a host's pages, and at least ``MIN_PAGES``, are its template. Their number
    per host is at most the mean number of containers of a page divided by ``SHARE``.
 3. Pages get the template of their host (hosts with very many pages by broadcast, see ``frames.attach``; pages
-   travel compressed), are parsed again, and lose the template subtrees, then elements whose tag, role, class or id says
-   menu, header, footer, sidebar, notice, advert, form, script, style or reader comments. What is left of the
-   outermost ``article`` or ``main`` elements, or of the whole page if there is none, is the text.
-
-Paragraphs, headings and other text elements are never template: an article that a host publishes many times
+   travel compressed), are parsed again, and lose the template subtrees, then elements whose tag or role says
+   menu, header, footer, sidebar, notice, advert, form, script, style or reader comments, and containers of which a
+   class or an id says so. A class or an id says so if it is made of such words and of words for places and shapes alone
+   (``site-footer``, ``comment-list``); one with other words in it (``share-price``, ``legal-history``) only counts if
+   at least half of the container's characters are links. What is left of the outermost ``article`` or ``main``
+   elements, or of the whole page if there is none, is the text.
+
+Paragraphs, headings and other text elements are never template and have no telling names: an article that a host publishes many times
 is still an article. Copies of one page count once.
 
 Character references are decoded, white space inside a block becomes one space, blocks are trimmed and joined
@@ -49,7 +52,11 @@ DROP_WORDS = frozenset("nav navbar navigation menu sidebar footer header masthea
                        "advertisement advertising sponsor sponsored promo promotion popup modal overlay newsletter subscribe subscription share sharing "
                        "social breadcrumb breadcrumbs comment comments reply replies disqus related recommended widget login signup search "
                        "pagination pager toolbar skip copyright legal".split())
+PLACE_WORDS = frozenset("site page main top bottom left right center box list wrap wrapper container section block bar area inner outer item items content "
+                        "buttons button links link form global primary secondary tertiary post article user reader module group row col column text body title "
+                        "icon icons region panel zone slot unit view js the and of to a b c d e f g h i j k l m n o p q r s t u v w x y z".split())
 ARTICLE_WORDS = frozenset("comment comments reply replies related promo ad ads advert sponsored teaser".split())
+TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre hgroup figcaption caption summary address li dt dd td th tr".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
              "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}}
 TOKEN = re.compile(
@@ -60,20 +67,25 @@ BREAK = "\0"  # a block's edge; U+0000 in a page is no character of its text
 
 
 class _Element:
-    __slots__ = ("tag", "drop", "hash", "content", "mains", "inside")
+    __slots__ = ("tag", "drop", "hash", "content", "mains", "inside", "maybe", "chars", "linked")
 
     def __init__(self, tag: str, attributes: str, inside: bool, hashed: bool):
         self.tag, self.inside, self.drop = tag, inside or tag in ("article", "main"), tag in DROP_TAGS
         found = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(attributes)} if attributes else {}
+        self.maybe, self.chars, self.linked = False, 0, 0
         if found and tag not in ("html", "body"):
-            words = set(re.split(r"[^a-z]+", f"{found.get('class', '')} {found.get('id', '')}".lower()))
+            names = [set(re.findall(r"[a-z]+", name)) for name in f"{found.get('class', '')} {found.get('id', '')}".lower().split()]
             role = found.get("role", "").lower()
             if role == "main":
                 self.inside = True
             elif tag == "article":
-                self.drop = bool(words & ARTICLE_WORDS)
+                self.drop = any(n & ARTICLE_WORDS and n <= ARTICLE_WORDS | PLACE_WORDS for n in names)
             elif tag != "main":
-                self.drop = self.drop or role in DROP_ROLES or bool((words - {"header"} if inside else words) & DROP_WORDS)
+                self.drop = self.drop or role in DROP_ROLES
+                if tag not in TEXT_TAGS:
+                    telling = DROP_WORDS - {"header"} if inside else DROP_WORDS
+                    self.drop = self.drop or any(n & telling and n <= DROP_WORDS | PLACE_WORDS for n in names)
+                    self.maybe = any(n & telling for n in names)
         if tag == "header" and not inside:
             self.drop = True
         self.hash = hashlib.blake2b(f"{tag} {found.get('class', '')} {found.get('id', '')}\0".encode(errors="replace"), digest_size=8) if hashed else None
@@ -89,6 +101,10 @@ def parse(page: str, template: frozenset[int] = frozenset(), hashed: bool = True
     def close() -> None:
         e = stack.pop()
         parent = stack[-1]
+        parent.chars += e.chars
+        parent.linked += e.chars if e.tag == "a" else e.linked
+        if e.maybe and 2 * e.linked >= e.chars:
+            e.drop = True
         if e.hash is not None:
             digest = e.hash.digest()
             parent.hash.update(digest)
@@ -114,6 +130,7 @@ def parse(page: str, template: frozenset[int] = frozenset(), hashed: bool = True
     def text(piece: str) -> None:
         if piece:
             stack[-1].content.append(piece)
+            stack[-1].chars += len(piece.strip())
             if stack[-1].hash is not None and (words := " ".join(piece.split())):
                 stack[-1].hash.update(words.encode(errors="replace"))
 

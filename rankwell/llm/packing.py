@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankwell.llm.frames import cut_lineage, read
+from rankwell.llm.frames import cut_lineage, fresh, read
 from rankwell.llm.quality_rules import words_of
 
 CAPACITY = 2048
@@ -102,11 +102,11 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
 
     Without ``cluster_col`` a cluster is the texts with equal words, A-Z lower-cased.
     """
-    words = words_of(F.coalesce(F.col(text_col), F.lit("")))
-    cluster = F.col(cluster_col).cast("string") if cluster_col else F.md5(F.lower(F.array_join("words", " ")).cast("binary"))
+    words = fresh(docs, "words")
+    cluster = F.col(cluster_col).cast("string") if cluster_col else F.md5(F.lower(F.array_join(words, " ")).cast("binary"))
     source = F.col(source_col).cast("string") if source_col else F.lit(None).cast("string")
-    items = cut_lineage(docs.withColumn("words", words).select(
-        F.col(id_col).cast("long").alias("doc_id"), F.size("words").cast("long").alias("n_words"), source.alias("source"), cluster.alias("cluster")))
+    items = cut_lineage(docs.withColumn(words, words_of(F.coalesce(F.col(text_col), F.lit("")))).select(
+        F.col(id_col).cast("long").alias("doc_id"), F.size(words).cast("long").alias("n_words"), source.alias("source"), cluster.alias("cluster")))
     shards = max(1, -(-items.count() // shard_items))
     size = F.col("n_words") % capacity
     dealt = items.withColumn("row", F.monotonically_increasing_id()).select(

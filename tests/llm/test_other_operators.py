@@ -3,6 +3,7 @@
 import collections
 import os
 import random
+import re
 
 import numpy as np
 import pytest
@@ -130,6 +131,12 @@ def test_vectors_recall_and_defined_cases(spark):
     assert embedding_dedup.embedding_links(spark.createDataFrame([], df.schema)).count() == 0
 
 
+def test_vectors_that_share_an_id(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.001]), (3, [0.001, 1.0])]
+    out = embedding_dedup.embedding_links(spark.createDataFrame([(*r, 0) for r in rows], "vec_id long, embedding array<double>, label int")).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in out) == [(1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 1, 1)]
+
+
 def test_tiles_count_each_pair_once(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "TILE", 16)
     rng = np.random.default_rng(3)
@@ -247,6 +254,12 @@ def test_best_fit_equals_the_plain_search():
         assert packing.best_fit(*map(list, zip(*items)), 100) == brute_best_fit(items, 100)
 
 
+def test_packing_with_a_column_of_its_own_names(spark):
+    docs = spark.createDataFrame([(1, "a b c", "k", 7), (2, "d e f", "k", 7), (3, "g", None, 8)], "doc_id long, text string, words string, size int")
+    out = {r.doc_id: r for r in packing.pack(docs, source_col=None, cluster_col="words").collect()}
+    assert len(out) == 3 and out[1].bin_id != out[2].bin_id and [out[i].length for i in (1, 2, 3)] == [3, 3, 1]
+
+
 def test_packing_covers_every_word_once(spark):
     rng = random.Random(8)
     rows = [(i, " ".join(f"w{i}x{j}" for j in range(rng.choice([0, 1, 7, 30, 64, 65, 200]))), rng.choice(["a", "b", None, "a"]), "z") for i in range(300)]
@@ -295,6 +308,68 @@ def test_main_text_rules():
     assert html_text.main_text("<body><header>h</header><div role=main><p>a</p></div><p>b</p></body>") == "a"
 
 
+def test_names_that_only_contain_a_telling_word():
+    page = ('<article><h1 class="page-header">Title</h1><div class="legal-history">The law of 1832</div><p class="search-theory">Search theory</p>'
+            '<div class="share-price">Shares rose</div><div class="site-footer">gone</div><div class="comment-list"><p>a reader</p></div>'
+            '<div class="related-reading"><a href="x">more of this</a> <a href="y">and that</a></div><div id="ad3">buy</div><section class="ad">buy</section></article>')
+    assert html_text.main_text(page) == "Title The law of 1832 Search theory Shares rose"
+
+
+def brute_subtrees(node):
+    """(serialised subtree, is a container) of every element; a node is (tag, class, [texts and nodes])."""
+    tag, name, inside = node
+    out, parts = [], []
+    for x in inside:
+        if isinstance(x, str):
+            parts.append("t" + x)
+        else:
+            below = brute_subtrees(x)
+            out += below
+            parts.append("e" + below[-1][0])
+    return out + [(repr((tag, name, parts)), tag in html_text.CONTAINER)]
+
+
+def brute_site_text(node, gone):
+    """Blocks of a tree without the container subtrees in ``gone``."""
+    if brute_subtrees(node)[-1] in gone:
+        return []
+    out = []
+    for x in node[2]:
+        out += [x] if isinstance(x, str) else brute_site_text(x, gone)
+    return out
+
+
+def test_random_sites_against_counted_subtrees(spark):
+    rng = random.Random(17)
+
+    def tree(depth, words):
+        if depth == 0 or rng.random() < 0.3:
+            return ("p", "", [" ".join(rng.choice(words) for _ in range(3))])
+        return (rng.choice(["div", "section", "ul", "table"]), rng.choice(["", "x", "yy"]), [tree(depth - 1, words) for _ in range(rng.randint(1, 3))])
+
+    def write(node):
+        return f'<{node[0]} class="{node[1]}">' + "".join(x if isinstance(x, str) else write(x) for x in node[2]) + f"</{node[0]}>"
+
+    rows, want = [], {}
+    for site in range(4):
+        shared = [tree(2, [f"menu{site}", "home", "about"]) for _ in range(4)]
+        pages = []
+        for _ in range((3, 5, 12, 30)[site]):
+            parts = [t for t in shared if rng.random() < 0.7] + [tree(2, [f"w{rng.randint(0, 10**6)}" for _ in range(20)]) for _ in range(2)]
+            rng.shuffle(parts)
+            pages.append(("body", "", parts))
+        pages.append(pages[0])
+        seen = collections.Counter(x for page in {repr(p): p for p in pages}.values() for x in set(brute_subtrees(page)))
+        distinct = len({repr(p) for p in pages})
+        gone = {x for x, n in seen.items() if x[1] and n >= html_text.MIN_PAGES and n >= html_text.SHARE * distinct}
+        for page in pages:
+            want[len(rows)] = " ".join(brute_site_text(page, gone))
+            rows.append((len(rows), f"http://s{site}.example/", write(page)))
+    out = html_text.html_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()
+    assert {r.page_id: r.text for r in out} == want
+    assert any(len(w.split()) < len(re.sub("<[^>]*>", " ", h).split()) for w, (_, _, h) in zip(want.values(), rows))
+
+
 def test_site_templates_are_removed_per_host(spark):
     body = lambda i: f'<div class="box"><p>Read our site</p><p>every day</p></div><div class="story"><p>story {i} text</p></div>'
     rows = [(i, f"http://www.a.example/{i}", body(i)) for i in range(12)]
