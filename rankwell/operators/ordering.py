@@ -74,10 +74,24 @@ def rank_within(df: DataFrame, group: list[str], order: list[str], out: str = "r
               .withColumn("__before", F.sum("__n").over(whole.orderBy("__part")) - F.col("__n"))
               .withColumn("__size", F.sum("__n").over(whole)))
     keep = ["__part", *group, "__before", "__size"]
-    alone = pieces.join(F.broadcast(spread.select("__part", *group)), ["__part", *group], "left_anti")
+    # A null group is a group: keys compare null-safe, and the pieces' keys have names of their own.
+    named = {g: f"__of_{i}" for i, g in enumerate(group)}
+
+    def matched(one: DataFrame, two: DataFrame):
+        out = one["__part"] == two["__at"]
+        for g in group:
+            out = out & one[g].eqNullSafe(two[named[g]])
+        return out
+
+    def renamed(df: DataFrame) -> DataFrame:
+        return df.select(F.col("__part").alias("__at"), *[F.col(g).alias(named[g]) for g in group], *[c for c in df.columns if c not in ("__part", *group)])
+
+    edges = renamed(spread.select("__part", *group))
+    alone = pieces.join(F.broadcast(edges), matched(pieces, edges), "left_anti")
     known = spread.select(*keep, "__start").unionByName(alone.select("__part", *group, F.lit(0).cast("long").alias("__before"), F.col("__n").alias("__size"), "__start"))
     # (partition, group) is unique and its rows lie in one written partition: no group is larger than a partition here.
-    out_df = s.join(known, ["__part", *group])
+    known = renamed(known)
+    out_df = s.join(known, matched(s, known)).drop("__at", *named.values())
     out_df = out_df.withColumn(out, (F.col("__mid") - F.col("__start") + 1 + F.col("__before")).cast("bigint"))
     if size:
         out_df = out_df.withColumn(size, F.col("__size"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rankwell.operators import cluster, metrics, predict, recommend, splits
+from rankwell.operators import cluster, metrics, nearest, predict, recommend, similarity, splits
 from rankwell.plans import oracle_kmeans as OK
 from rankwell.plans.splitting import SEED, SQL_SPLIT, SQL_TEST, SQL_TRAIN, TEST_FRACTION
 from rankwell.session import cut_lineage
@@ -226,6 +226,39 @@ def q_recommend(spark, sf):
     return recommend.recommend_top_n(train, clusters, main_profile(spark, sf), K_MAIN, N_MAIN)
 
 
+def nearest_users(spark, sf):
+    key = _key(spark, sf, "near")
+    if key not in _memo:
+        _memo[key] = cut_lineage(nearest.nearest_users(unit_profiles(spark, sf, K_MAIN), K_MAIN, N_MAIN))
+    return _memo[key]
+
+
+def q_nearest_users(spark, sf):
+    """The ten most similar users of every user."""
+    return nearest_users(spark, sf).select("user_id", "neighbour_id", F.round("sim", 9).alias("sim"), "rank")
+
+
+def q_recommend_knn(spark, sf):
+    """R5 ('knn'): top-10 unseen items of the nearest users."""
+    train, _ = split_frames(spark, sf)
+    return nearest.recommend_knn(train, nearest_users(spark, sf), N_MAIN)
+
+
+def q_recommend_hybrid(spark, sf):
+    """R5 ('hybrid'): both lists merged."""
+    return nearest.recommend_hybrid(q_recommend(spark, sf), q_recommend_knn(spark, sf), N_MAIN)
+
+
+#: Similar items of the registered query: cosine over the users who rated both.
+MIN_COSINE = 0.15
+
+
+def q_item_similarity(spark, sf):
+    """M8: all pairs of items with a cosine of at least MIN_COSINE."""
+    train, _ = split_frames(spark, sf)
+    return similarity.item_similarity(train, MIN_COSINE)
+
+
 USER_K = 4
 
 
@@ -252,6 +285,10 @@ def q_cluster_distribution(spark, sf):
 
 QUERIES = {
     "R5_recommend_top_n": q_recommend,
+    "R5_recommend_knn": q_recommend_knn,
+    "R5_recommend_hybrid": q_recommend_hybrid,
+    "J8_nearest_users": q_nearest_users,
+    "M8_item_similarity": q_item_similarity,
     "M5_user_clusters": q_user_clusters,
     "M5_convergence": q_user_clusters_convergence,
     "A4_cluster_distribution": q_cluster_distribution,
@@ -493,3 +530,32 @@ ORACLE["E5_recommendation_coverage"] = _R5_HEAD + f"""
 SELECT count(DISTINCT item_id) AS n_test_items, (SELECT count(*) FROM items) AS catalogue,
        round(count(DISTINCT item_id) * 100.0 / (SELECT count(*) FROM items), 6) AS coverage_pct
 FROM top WHERE rank <= {N_MAIN}"""
+
+_NEAR = [f"""nearm AS MATERIALIZED (SELECT * FROM (
+  SELECT user_id, neighbour_id, sim, row_number() OVER (PARTITION BY user_id ORDER BY sim DESC, neighbour_id) AS rank FROM (
+    SELECT zu.user_id, zv.user_id AS neighbour_id, floor(({" + ".join(f"zu.z{c} * zv.z{c}" for c in range(K_MAIN))}) * 1e9 + 0.5) / 1e9 AS sim
+    FROM unitm zu JOIN unitm zv ON zu.user_id <> zv.user_id) WHERE sim > 0) WHERE rank <= {N_MAIN})"""]
+_KNN_LIST = [f"""knnl AS MATERIALIZED (SELECT * FROM (
+  SELECT user_id, item_id, score / weights AS mean, score / 1e9 AS points, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rank FROM (
+    SELECT n.user_id, t.item_id, sum(CAST(floor(n.sim * 1e9 + 0.5) AS BIGINT) * t.rating)::BIGINT AS score, sum(CAST(floor(n.sim * 1e9 + 0.5) AS BIGINT))::BIGINT AS weights
+    FROM nearm n JOIN train t ON t.user_id = n.neighbour_id
+    WHERE NOT EXISTS (SELECT 1 FROM train s WHERE s.user_id = n.user_id AND s.item_id = t.item_id) GROUP BY n.user_id, t.item_id))
+  WHERE rank <= {N_MAIN})"""]
+ORACLE["J8_nearest_users"] = _q("SELECT user_id, neighbour_id, round(sim, 9) AS sim, rank FROM nearm", _knn_ctes() + _NEAR)
+ORACLE["R5_recommend_knn"] = _q("""
+SELECT user_id, item_id, round(mean, 6) AS predicted_rating, round(points, 6) AS recommendation_score, rank,
+       'v1' AS model_version, 'knn' AS algorithm FROM knnl""", _knn_ctes() + _NEAR + _KNN_LIST)
+ORACLE["R5_recommend_hybrid"] = _R5_HEAD + ", " + ", ".join(_NEAR + _KNN_LIST) + f""",
+lists AS (SELECT user_id, item_id, round(mean, 6) AS mean, rank FROM top WHERE rank <= {N_MAIN}
+          UNION ALL SELECT user_id, item_id, round(mean, 6), rank FROM knnl),
+fused AS (SELECT user_id, item_id, sum(floor({nearest.FUSION_POINTS} / ({nearest.FUSION_RANK} + rank)))::BIGINT AS points, avg(mean) AS mean
+          FROM lists GROUP BY user_id, item_id)
+SELECT user_id, item_id, round(mean, 6) AS predicted_rating, round(points / {float(nearest.FUSION_POINTS)}, 6) AS recommendation_score, rank,
+       'v1' AS model_version, 'hybrid' AS algorithm
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY points DESC, item_id) AS rank FROM fused) WHERE rank <= {N_MAIN}"""
+ORACLE["M8_item_similarity"] = _q(f"""
+, nrm AS MATERIALIZED (SELECT item_id, sum(rating * rating)::BIGINT AS n2 FROM train GROUP BY item_id),
+dots AS (SELECT a.item_id AS i, b.item_id AS j, sum(a.rating * b.rating)::BIGINT AS dot
+         FROM train a JOIN train b ON a.user_id = b.user_id AND a.item_id < b.item_id GROUP BY a.item_id, b.item_id)
+SELECT i AS item_id_1, j AS item_id_2, round(dot / sqrt(p.n2::DOUBLE * q.n2), 6) AS similarity_score, 'v1' AS model_version
+FROM dots JOIN nrm p ON p.item_id = i JOIN nrm q ON q.item_id = j WHERE dot / sqrt(p.n2::DOUBLE * q.n2) >= {MIN_COSINE}""", _BASE)
