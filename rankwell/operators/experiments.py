@@ -1,8 +1,9 @@
 """Experiment runs table.
 
 A run is one row (experiment, run_name, params map<string,string>,
-metrics map<string,double>, tags map<string,string>, ts) appended to a parquet
-table; experiments are created on first use simply by writing to them.
+metrics map<string,double>, tags map<string,string>, ts, run_id) in a parquet
+table.  ``run_id`` is a hash of all but the time, and the first write of a
+run_id wins: a logging job that is run again after a failure adds nothing.
 """
 
 from __future__ import annotations
@@ -10,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from rankwell.sources.sinks import append, read_table, table_exists, write_unique
+
 RUN_SCHEMA = ("experiment string, run_name string, params map<string,string>, "
               "metrics map<string,double>, tags map<string,string>")
 
@@ -25,14 +28,32 @@ def run_row(metrics_row: DataFrame, experiment: str, run_name: str, params: dict
                               F.current_timestamp().cast("timestamp_ntz").alias("ts"))
 
 
-def log_runs(runs: DataFrame, path: str) -> None:
-    """Append runs to the table at ``path``."""
-    runs.write.mode("append").parquet(path)
+def get_or_create_experiment(spark: SparkSession, root: str, name: str) -> str:
+    """The id of the experiment ``name`` in the table ``root/experiments``, which gets a row when the name is new.
+
+    The id is a hash of the name, so writers that create an experiment at the same time agree on it."""
+    row = spark.range(1).select(F.lit(name).alias("name"), F.substring(F.sha2(F.lit(name), 256), 1, 16).alias("experiment_id"),
+                                F.current_timestamp().cast("timestamp_ntz").alias("created"))
+    path = f"{root.rstrip('/')}/experiments"
+    write_unique(row, path, ["name"])
+    return read_table(spark, path).filter(F.col("name") == name).select("experiment_id").first()[0]
+
+
+def log_runs(runs: DataFrame, path: str) -> DataFrame:
+    """Add the runs that the table at ``path`` does not have yet; returns them."""
+    def entries(m):
+        return F.array_sort(F.map_entries(m))
+    same = F.sha2(F.to_json(F.struct("experiment", "run_name", entries("params").alias("params"), entries("metrics").alias("metrics"),
+                                     entries("tags").alias("tags"))), 256)
+    new = runs.withColumn("run_id", same).dropDuplicates(["run_id"])
+    if table_exists(runs.sparkSession, path):
+        new = new.join(read_table(runs.sparkSession, path).select("run_id"), "run_id", "left_anti").select(new.columns)
+    return append(new, path)
 
 
 def search_runs(spark: SparkSession, path: str, experiment: str, metric: str = "rmse") -> DataFrame:
     """Runs of an experiment ordered by a metric, runs without it last (0 is only what they display)."""
-    runs = spark.read.parquet(path).filter(F.col("experiment") == experiment)
+    runs = read_table(spark, path).filter(F.col("experiment") == experiment)
     return runs.orderBy(F.col("metrics")[metric].asc_nulls_last(), "run_name").withColumn(
         metric, F.coalesce(F.col("metrics")[metric], F.lit(0.0)))
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from rankwell.operators import quality
 from rankwell.sources import rawfiles as RF
-from rankwell.sources.sinks import _exists
+from rankwell.sources.sinks import table_exists
 
 KEYS = ["user_id", "item_id"]
 
@@ -28,7 +28,7 @@ def _batch_writer(table_path: str):
         parsed = RF.parse_ratings(batch)
         good, _ = quality.check_ratings(parsed)
         existing = (spark.read.parquet(table_path).filter(F.col("batch_id") != batch_id)
-                    if _exists(spark, table_path) else good.limit(0))
+                    if table_exists(spark, table_path) else good.limit(0))
         new = quality.insert_new(good, existing, KEYS, ["timestamp", "rating"])
         new.write.mode("overwrite").parquet(f"{table_path}/batch_id={batch_id}")
     return write

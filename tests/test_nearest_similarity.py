@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from rankwell.operators import nearest, ordering, similarity, splits
+from rankwell.operators import experiments, nearest, ordering, similarity, splits
 from rankwell.sources import sinks
 
 
@@ -136,3 +136,16 @@ def test_split_keeps_rows_without_a_rating(spark):
     rows = [(u, i, None if (u + i) % 3 == 0 else 1 + (u * i) % 5) for u in range(10) for i in range(10)]
     out = splits.stratified_split(spark.createDataFrame(rows, "user_id long, item_id long, rating int"), 0.2, 42)
     assert out.count() == 100
+
+
+def test_runs_are_logged_once(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    rows = spark.createDataFrame([(0.5, 0.4)], "rmse double, mae double")
+    run = experiments.run_row(rows, "e", "knn", {"K": 5, "N": 10}, {"a": "b"})
+    assert experiments.log_runs(run, path).count() == 1 and experiments.log_runs(run, path).count() == 0
+    assert experiments.log_runs(experiments.run_row(rows, "e", "knn", {"N": 10, "K": 5}, {"a": "b"}), path).count() == 0
+    assert experiments.log_runs(experiments.run_row(rows, "e", "knn", {"K": 8, "N": 10}, {"a": "b"}), path).count() == 1
+    assert experiments.search_runs(spark, path, "e").count() == 2
+    one, two = (experiments.get_or_create_experiment(spark, str(tmp_path), n) for n in ("e", "f"))
+    assert one != two and experiments.get_or_create_experiment(spark, str(tmp_path), "e") == one
+    assert sinks.read_table(spark, str(tmp_path / "experiments")).count() == 2
