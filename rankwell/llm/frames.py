@@ -13,13 +13,12 @@ from rankwell.session import cut_lineage, release
 __all__ = ["attach", "cut_lineage", "forget", "fresh", "map_batches", "read"]
 
 
-def forget(*tables: DataFrame) -> None:
+def forget(spark, *tables: DataFrame) -> None:
     """Delete tables of ``cut_lineage`` that nothing needs any more, and have the driver drop the plans that are done: only then
     does Spark delete the shuffle files of these plans on the executors."""
     for table in tables:
         release(table)
-    if tables:
-        tables[0].sparkSession.sparkContext._jvm.System.gc()
+    spark.sparkContext._jvm.System.gc()
 
 
 def read(spark, sf_dir: str, table: str) -> DataFrame:

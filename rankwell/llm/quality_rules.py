@@ -36,7 +36,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankwell.llm.frames import cut_lineage, fresh, read
+from rankwell.llm.frames import cut_lineage, forget, fresh, read
 
 #: Frequent function words, in lower case.
 COMMON_WORDS = {
@@ -190,10 +190,14 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def keep_quality(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows of ``docs`` that the rules keep, all columns as they are."""
-    key = fresh(docs, "__row")
-    # Written once with the row: a filter on the verdict would otherwise have the features computed again for the rows it keeps.
-    features = cut_lineage(text_features(docs.withColumn(key, F.struct(*docs.columns)), key, text_col, lang_col))
-    return judge(features, language_references(features.drop("doc_id"))).filter("kept").select("doc_id.*")
+    # The verdict depends on text and language alone. Features are written without the text, so nothing large stays behind.
+    one, two, both = (fresh(docs, c) for c in ("__key_1", "__key_2", "__keys"))
+    text, lang = F.col(text_col).cast("string"), F.col(lang_col).cast("string")
+    keyed = docs.withColumns({one: F.xxhash64(F.lit(1), text, lang), two: F.xxhash64(F.lit(2), lang, text)})
+    features = cut_lineage(text_features(keyed.withColumn(both, F.struct(F.col(one).alias(one), F.col(two).alias(two))), both, text_col, lang_col))
+    rejected = cut_lineage(judge(features, language_references(features.drop("doc_id"))).filter("not kept").select("doc_id.*").distinct())
+    forget(docs.sparkSession, features)
+    return keyed.join(rejected, [one, two], "left_anti").select(*docs.columns)
 
 
 def op5_quality_rules(spark, sf_dir: str) -> DataFrame:
