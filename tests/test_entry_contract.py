@@ -14,7 +14,7 @@ def test_registry_shapes():
     assert len(q) >= 60
     # The training-data queries are there if and only if their subpackage is.
     numbered = sorted(int(name[2:].split("_")[0]) for name in q if name.startswith("op"))
-    assert numbered == (list(range(1, 11)) if E.HAS_LLM else [])
+    assert numbered == (list(range(1, 14)) if E.HAS_LLM else [])
     assert ("pipeline" in q) == E.HAS_PIPELINE
 
 
