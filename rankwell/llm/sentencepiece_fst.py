@@ -30,6 +30,7 @@ import re
 import struct
 from collections.abc import Iterator
 from heapq import heappop, heappush
+from math import inf
 
 import numpy as np
 import pyarrow as pa
@@ -119,6 +120,9 @@ class Transducer:
             for c in text[:-1]:
                 node = node.setdefault(c, [-1, {}])[1]
             node.setdefault(text[-1], [-1, {}])[0] = piece
+        if any(c not in self.ids for c in self.arcs):
+            raise ValueError("a character of a piece is no piece")
+        self._special = np.array([k != NORMAL for k in self.kinds])
         self._pairs: dict[int, bool] = {}
         self._units: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
@@ -165,43 +169,47 @@ class Transducer:
     # -- composition and shortest path
 
     def shortest_path(self, unit: str) -> list[int]:
-        """Piece ids of the smallest path through the composition of a normalised unit and the transducer."""
-        n, pairs, scores = len(unit), self._pairs, self.scores
-        # states[i]: the piece that ends at i (-1 - j: a fallback character, -1: the start) -> (weight, where it starts, previous state)
-        states: list[dict[int, tuple[float, int, int]]] = [{} for _ in range(n + 1)]
-        states[0][-1] = (0.0, 0, -1)
+        """Piece ids of the smallest path through the composition of a normalised unit and the transducer.
+
+        One state a position is enough: a path that keeps to the pairs is the encoding of what it has read, so no two
+        pieces can end a prefix.  The weights still settle it if the scores of a model tie."""
+        n, pairs, scores, root = len(unit), self._pairs, self.scores, self.arcs
+        # state[i]: the piece that ends at i (-1: the start or a fallback character, -2: none), where it starts, and its weight
+        state, begin, weight = [-2] * (n + 1), [0] * (n + 1), [inf] * (n + 1)
+        state[0], weight[0] = -1, 0.0
         for i in range(n):
-            here = states[i]
-            if not here:
+            last = state[i]
+            if last == -2:
                 continue
-            if unit[i] not in self.arcs or self.arcs[unit[i]][0] < 0:
-                weight, state = min((v[0], k) for k, v in here.items())
-                states[i + 1][-1] = (weight, i, state)
+            arcs, here = root, weight[i]
+            if unit[i] not in root:
+                state[i + 1], begin[i + 1], weight[i + 1] = -1, i, here
                 continue
-            arcs = self.arcs
+            key = last << 32
             for j in range(i, n):
                 arc = arcs.get(unit[j])
                 if arc is None:
                     break
                 piece, arcs = arc
-                if piece < 0:
-                    continue
-                best = None
-                for state, (weight, _, _) in here.items():
-                    if state >= 0:
-                        ok = pairs.get(state << 32 | piece)
-                        if not (self.follows(state, piece) if ok is None else ok):
-                            continue
-                    if best is None or weight < best[0]:
-                        best = (weight, state)
-                if best is not None:
-                    states[j + 1][piece] = (best[0] - scores[piece], i, best[1])
+                if piece >= 0:
+                    if last >= 0:
+                        ok = pairs.get(key | piece)
+                        if ok is None:
+                            ok = self.follows(last, piece)
+                    else:
+                        ok = True
+                    if ok:
+                        there = here - scores[piece]
+                        if there < weight[j + 1]:
+                            state[j + 1], begin[j + 1], weight[j + 1] = piece, i, there
+                if not arcs:
+                    break
         out: list[int] = []
-        at, state = n, min(states[n], key=lambda k: states[n][k][0])
+        at = n
         while at:
-            _, start, before = states[at][state]
-            out += [state] if state >= 0 else [self.bytes[b] for b in reversed(unit[start:at].encode())]
-            at, state = start, before
+            start = begin[at]
+            out += [state[at]] if state[at] >= 0 else [self.bytes[b] for b in reversed(unit[start:at].encode())]
+            at = start
         return out[::-1]
 
     def encode(self, text: str) -> np.ndarray:
@@ -225,23 +233,31 @@ class Transducer:
         return ids
 
     def decode(self, ids) -> str:
+        ids = np.asarray(ids, dtype=np.int32)
+        special = self._special[ids]
+        values, pieces = ids.tolist(), self.pieces
+        edges = [0, *(np.flatnonzero(special[1:] != special[:-1]) + 1).tolist(), len(values)]
         parts: list[str] = []
+        for lo, hi in zip(edges, edges[1:]):  # runs of pieces, and of ids that are no pieces
+            if lo < hi:
+                parts += self._no_pieces(values[lo:hi]) if special[lo] else map(pieces.__getitem__, values[lo:hi])
+        text = "".join(parts).replace(SPACE, " ")
+        return text[1:] if text.startswith(" ") else text
+
+    def _no_pieces(self, ids: list[int]) -> Iterator[str]:
+        """The texts of neighbouring bytes, unknown and control ids."""
         raw = bytearray()
         for i in ids:
             if self.kinds[i] == BYTE:
                 raw.append(int(self.pieces[i][3:5], 16))
                 continue
             if raw:
-                parts.append(_characters(bytes(raw)))
+                yield _characters(bytes(raw))
                 raw.clear()
             if self.kinds[i] == UNKNOWN:
-                parts.append(" ⁇ ")
-            elif self.kinds[i] != CONTROL:
-                parts.append(self.pieces[i])
+                yield " ⁇ "
         if raw:
-            parts.append(_characters(bytes(raw)))
-        text = "".join(parts).replace(SPACE, " ")
-        return text[1:] if text.startswith(" ") else text
+            yield _characters(bytes(raw))
 
 
 def _characters(raw: bytes) -> str:
@@ -313,6 +329,26 @@ def decode(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", mod
     return map_batches(encoded.select(F.col(id_col).alias("doc_id"), F.col(ids_col).alias("ids")), emit, f"doc_id {kind}, text string")
 
 
+def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = DEFAULT_MODEL) -> DataFrame:
+    """Per row of ``docs``: doc_id, ids, and round_trip: whether decoding the ids gives the text back, U+2581 being a
+    space (null for a null text).  The ids are decoded where they were made, so nothing is sent twice."""
+    shared = _load(docs.sparkSession, model)
+
+    def emit(batch: pa.RecordBatch):
+        fst = _transducer(shared.value)
+        for lo in range(0, batch.num_rows, 256):
+            part = batch.slice(lo, 256)
+            texts = part.column(1).to_pylist()
+            ids = [None if t is None else fst.encode(t) for t in texts]
+            same = [None if t is None else fst.decode(i) == t.replace(SPACE, " ") for t, i in zip(texts, ids)]
+            yield pa.RecordBatch.from_arrays([part.column(0), _lists(ids), pa.array(same, pa.bool_())],
+                                             names=["doc_id", "ids", "round_trip"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return map_batches(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), emit,
+                       f"doc_id {kind}, ids array<int>, round_trip boolean")
+
+
 def op4_sentencepiece(spark, sf_dir: str) -> DataFrame:
-    out = encode(read(spark, sf_dir, "documents"))
-    return out.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids")
+    out = round_trip(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", "round_trip")

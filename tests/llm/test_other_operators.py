@@ -69,7 +69,10 @@ def test_transducer_equals_the_library(spark):
         t = texts[r.doc_id]
         assert r.text == (None if t is None else library.decode(library.encode(t)))
         assert t is None or r.text == t.replace("▁", " ")
+    there_and_back = {r.doc_id: r for r in sentencepiece_fst.round_trip(df).collect()}
+    assert all(there_and_back[i].ids == got[i] and there_and_back[i].round_trip == (None if t is None else True) for i, t in enumerate(texts))
     assert sentencepiece_fst.encode(spark.createDataFrame([], DOC)).count() == 0
+    assert sentencepiece_fst.round_trip(spark.createDataFrame([], DOC)).count() == 0
     table = sentencepiece_fst.Transducer(open(sentencepiece_fst.DEFAULT_MODEL, "rb").read())
     bad = [[200, 201, 300], [3 + 0xE9, 3 + 0x41, 260], [0, 1, 2, 400], [3 + 0xF0, 3 + 0x9F, 3 + 0x99]]
     assert [table.decode(x) for x in bad[:2] + bad[3:]] == [library.decode(x) for x in bad[:2] + bad[3:]]
