@@ -38,6 +38,17 @@ from pyspark.sql import functions as F
 from rankwell.session import cut_lineage, release
 
 DIST_DEC = 6
+#: Runs of one k from several starts are numbered start · RUNS + k; a plain k is start 0.
+RUNS = 1_000_000
+
+
+def run(start: int, k: int) -> int:
+    return start * RUNS + k
+
+
+def _n(k: int) -> int:
+    """The number of clusters of a run."""
+    return k % RUNS
 
 
 def _a(k):
@@ -62,7 +73,7 @@ class LloydResult:
 def _centre_sums(t: DataFrame, assign: DataFrame, ks: list[int]) -> DataFrame:
     dtype = dict(t.dtypes)["v"]
     aggs = [F.sum(F.when(F.col(_a(k)) == c, F.col("v")).otherwise(F.lit(0))).cast(dtype).alias(_s(k, c))
-            for k in ks for c in range(k)]
+            for k in ks for c in range(_n(k))]
     return t.join(assign, "point_id").groupBy("dim_id").agg(*aggs)
 
 
@@ -96,10 +107,10 @@ def _nearest(t: DataFrame, sums: DataFrame, norms: DataFrame, ks: list[int], siz
     comparison is a function of arrays, so its code does not grow with the number of centres."""
     dtype = dict(t.dtypes)["v"]
     dots = (t.join(sums, "dim_id").groupBy("point_id")
-            .agg(*[F.sum(F.col("v") * F.col(_s(k, c))).cast(dtype).alias(_s(k, c)) for k in ks for c in range(k)])
-            .select("point_id", *[F.array(*[_s(k, c) for c in range(k)]).alias(f"dots{k}") for k in ks]))
+            .agg(*[F.sum(F.col("v") * F.col(_s(k, c))).cast(dtype).alias(_s(k, c)) for k in ks for c in range(_n(k))])
+            .select("point_id", *[F.array(*[_s(k, c) for c in range(_n(k))]).alias(f"dots{k}") for k in ks]))
     one = t.sparkSession.createDataFrame(
-        [tuple([(float(sizes[k, c]), float(sq[k, c])) for c in range(k)] for k in ks)],
+        [tuple([(float(sizes[k, c]), float(sq[k, c])) for c in range(_n(k))] for k in ks)],
         ", ".join(f"s{k} array<struct<n:double,q:double>>" for k in ks))
     wide = dots.join(norms, "point_id").withColumn("__s", one.select(F.struct("*")).scalar())
     far = wide.select("point_id", *[F.zip_with(f"dots{k}", F.col(f"__s.s{k}"), lambda dot, c: distance(F.col("nrm"), dot, c["n"], c["q"])).alias(f"b{k}")
@@ -108,19 +119,20 @@ def _nearest(t: DataFrame, sums: DataFrame, norms: DataFrame, ks: list[int], siz
 
 
 def _sizes(assign: DataFrame, ks: list[int]) -> dict:
-    row = assign.agg(*[F.count_if(F.col(_a(k)) == c).alias(_s(k, c)) for k in ks for c in range(k)]).first()
-    return {(k, c): int(row[_s(k, c)]) for k in ks for c in range(k)}
+    row = assign.agg(*[F.count_if(F.col(_a(k)) == c).alias(_s(k, c)) for k in ks for c in range(_n(k))]).first()
+    return {(k, c): int(row[_s(k, c)]) for k in ks for c in range(_n(k))}
 
 
 def _square_sums(sums: DataFrame, ks: list[int]) -> dict:
-    row = sums.agg(*[F.sum(F.col(_s(k, c)) * F.col(_s(k, c))).alias(_s(k, c)) for k in ks for c in range(k)]).first()
-    return {(k, c): row[_s(k, c)] or 0 for k in ks for c in range(k)}
+    row = sums.agg(*[F.sum(F.col(_s(k, c)) * F.col(_s(k, c))).alias(_s(k, c)) for k in ks for c in range(_n(k))]).first()
+    return {(k, c): row[_s(k, c)] or 0 for k in ks for c in range(_n(k))}
 
 
 def lloyd(cells: DataFrame, ks: list[int], max_iter: int = 300, point: str = "item_id",
-          dim: str = "user_id", value: str = "rating") -> LloydResult:
+          dim: str = "user_id", value: str = "rating", start: DataFrame | None = None) -> LloydResult:
     """Run Lloyd's algorithm for every k in ``ks`` side by side until each
     assignment stops changing (or ``max_iter`` steps; ``converged`` says which).
+    ``start`` has the first assignment (point_id, a{k}...) if it is not the modulo rule.
 
     Per step the driver sees only O(Σk) numbers (sizes, Σ S² and the numbers of
     changes).  Two jobs a step: Σ S² of the centre sums, which caches them, and
@@ -130,8 +142,8 @@ def lloyd(cells: DataFrame, ks: list[int], max_iter: int = 300, point: str = "it
     t = cells.select(F.col(point).alias("point_id"), F.col(dim).alias("dim_id"),
                      F.col(value).cast(dtype).alias("v")).repartition("dim_id").persist()
     norms = cut_lineage(t.groupBy("point_id").agg(F.sum(F.col("v") * F.col("v")).cast(dtype).alias("nrm")))
-    assign = cut_lineage(norms.select("point_id", *[F.pmod(F.col("point_id"), F.lit(k)).cast("int").alias(_a(k))
-                                                   for k in ks]))
+    assign = cut_lineage(start.select("point_id", *[_a(k) for k in ks]) if start is not None else norms.select(
+        "point_id", *[F.pmod(F.col("point_id"), F.lit(_n(k))).cast("int").alias(_a(k)) for k in ks]))
     sizes = _sizes(assign, ks)
     res = LloydResult(ks=ks, assign=assign, sums=None)
     active = list(ks)
@@ -145,19 +157,19 @@ def lloyd(cells: DataFrame, ks: list[int], max_iter: int = 300, point: str = "it
             old = prev_sums.select("dim_id", *[F.col(_s(k, c)).alias("o" + _s(k, c)) for (k, c) in kept])
             sums = sums.join(old, "dim_id").select(
                 "dim_id", *[(F.col("o" + _s(k, c)) if (k, c) in kept else F.col(_s(k, c))).alias(_s(k, c))
-                            for k in active for c in range(k)])
+                            for k in active for c in range(_n(k))])
         sums = sums.persist()
         sq = _square_sums(sums, active) | {kc: q for kc, (_, q) in kept.items()}
-        ns = {(k, c): sizes[(k, c)] for k in active for c in range(k)} | {kc: n for kc, (n, _) in kept.items()}
+        ns = {(k, c): sizes[(k, c)] for k in active for c in range(_n(k))} | {kc: n for kc, (n, _) in kept.items()}
         obs = Observation(f"lloyd_{uuid.uuid4().hex[:12]}_{step}")
         stepped = (_nearest(t, sums, norms, active, ns, sq).join(assign, "point_id")
                    .select("point_id", *[(F.col(f"b{k}.j") if k in active else F.col(_a(k))).alias(_a(k)) for k in ks],
                            *[(F.col(f"b{k}.j") != F.col(_a(k))).alias(f"ch{k}") for k in active])
                    .observe(obs, *[F.count_if(F.col(f"ch{k}")).alias(f"ch{k}") for k in active],
-                            *[F.count_if(F.col(_a(k)) == c).alias(_s(k, c)) for k in active for c in range(k)]))
+                            *[F.count_if(F.col(_a(k)) == c).alias(_s(k, c)) for k in active for c in range(_n(k))]))
         new_assign = cut_lineage(stepped.select("point_id", *[_a(k) for k in ks]))
         stat = obs.get
-        new_sizes = {(k, c): int(stat[_s(k, c)]) for k in active for c in range(k)}
+        new_sizes = {(k, c): int(stat[_s(k, c)]) for k in active for c in range(_n(k))}
         kept = {kc: (ns[kc], sq[kc]) for kc, n in new_sizes.items() if n == 0}
         # The sums cached last are rebuilt from the last assignment if an executor is lost; what is older goes.
         if prev_sums is not None:
@@ -250,12 +262,12 @@ def wcss(res: LloydResult) -> DataFrame:
     a = res.assign.join(res.norms, "point_id")
     spark = a.sparkSession
     n_cols = a.agg(*[F.sum(F.when(F.col(_a(k)) == c, F.col("nrm")).otherwise(F.lit(0))).alias(_s(k, c))
-                     for k in res.ks for c in range(k)])
+                     for k in res.ks for c in range(_n(k))])
     ncs = n_cols.select(F.struct("*")).scalar()
     rows = []
     for k in res.ks:
         total = None
-        for c in range(k):
+        for c in range(_n(k)):
             n = res.sizes[(k, c)]
             term = ncs[_s(k, c)].cast("double") - (F.lit(float(res.sq[(k, c)])) / F.lit(float(n)) if n else F.lit(0.0))
             total = term if total is None else total + term

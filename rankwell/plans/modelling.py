@@ -28,10 +28,10 @@ _memo: dict = {}
 
 
 def _stamp(spark, sf):
-    """Sizes and modification times of the files that the ratings come from."""
+    """Sizes and modification times of the files that ratings, users and items come from."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     out = []
-    for table in ("lineitem", "orders"):
+    for table in ("lineitem", "orders", "customer", "part"):
         path = jvm.org.apache.hadoop.fs.Path(f"{sf}/{table}.parquet")
         out += [(f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in path.getFileSystem(conf).listStatus(path)]
     return tuple(out)

@@ -13,8 +13,9 @@ a mismatch rather than passing silently.
 from __future__ import annotations
 
 
-def kmeans_ctes(ks, steps: int, train: str = "train", tag: str = "") -> tuple[list[str], str]:
-    """CTE list ending in assignment ``km{tag}_a{steps}`` with columns (k, item_id, cluster)."""
+def kmeans_ctes(ks, steps: int, train: str = "train", tag: str = "", start: str | None = None) -> tuple[list[str], str]:
+    """CTE list ending in assignment ``km{tag}_a{steps}`` with columns (k, item_id, cluster); ``start`` names a first
+    assignment of the same columns (its k are all runs), else it is the modulo rule."""
     ks = [ks] if isinstance(ks, int) else list(ks)
     p = f"km{tag}"
     kv = ", ".join(f"({k})" for k in ks)
@@ -22,7 +23,7 @@ def kmeans_ctes(ks, steps: int, train: str = "train", tag: str = "") -> tuple[li
   FROM {train} GROUP BY item_id)""",
             f"{p}_ks AS MATERIALIZED (SELECT * FROM (VALUES {kv}) v(k))",
             f"""{p}_a0 AS MATERIALIZED (SELECT ks.k, x.item_id, CAST(x.item_id % ks.k AS INTEGER) AS cluster
-  FROM {p}_norm x CROSS JOIN {p}_ks ks)"""]
+  FROM {p}_norm x CROSS JOIN {p}_ks ks)""" if start is None else f"{p}_a0 AS MATERIALIZED (SELECT * FROM {start})"]
     for s in range(1, steps + 1):
         prev = f"{p}_a{s - 1}"
         ctes.append(f"""{p}_s{s} AS MATERIALIZED (
