@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-PLAN_MODULES = ["analytics", "etl", "splitting", "modelling", "learning", "clusters", "extras"]
+PLAN_MODULES = ["analytics", "etl", "splitting", "modelling", "learning", "clusters", "forest", "extras"]
 
 
 def _modules():
