@@ -141,6 +141,23 @@ def top_neighbours(pairs: DataFrame, train: DataFrame, unit: DataFrame, k: int,
     return partial.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
 
+def similarity_block(unit: DataFrame, k: int, n: int = 10) -> DataFrame:
+    """The n × n corner of the user similarity matrix: user_id and ``s1`` ... ``sn``, the similarities with the n users of
+    the smallest ids, in their order (the limit is the report; n users form one array)."""
+    first = unit.orderBy("user_id").limit(n)
+    zs = F.array(*[f"z{c}" for c in range(k)])
+    others = first.agg(F.sort_array(F.collect_list(F.struct("user_id", zs.alias("z")))).alias("u")).select("u").scalar()
+    rows = first.withColumn("__u", others)
+
+    def sim(j: int) -> F.Column:
+        other = F.get(F.col("__u"), F.lit(j))["z"]
+        dot = F.col("z0") * other[0]
+        for c in range(1, k):
+            dot = dot + F.col(f"z{c}") * other[c]
+        return F.floor(dot * SIM_SCALE + 0.5) / SIM_SCALE
+    return rows.select("user_id", *[sim(j).alias(f"s{j + 1}") for j in range(n)])
+
+
 def fallback_means(train: DataFrame, mode: str = "observed") -> tuple[DataFrame, DataFrame, F.Column]:
     """R2: per-item and per-user fallback means and the global constant.
 

@@ -133,6 +133,53 @@ def q_csv_export(spark, sf):
     return spark.read.option("header", "true").schema("item_id bigint, total_ratings bigint, avg_rating double").csv(path)
 
 
+BLOCK_USERS = 10
+
+
+def q_similarity_block(spark, sf):
+    """Similarities of the ten smallest users with one another, exported and read back."""
+    path = _folder(spark, "export")
+    block = predict.similarity_block(M.unit_profiles(spark, sf, M.K_MAIN), M.K_MAIN, BLOCK_USERS)
+    sinks.export_csv(block, path)
+    return spark.read.option("header", "true").schema(block.schema).csv(path)
+
+
+def _raw_files(spark, sf):
+    """A folder with the tables as raw files: ratings, users, items and the three lookup lists."""
+    path = _folder(spark, "raw")
+    ratings, users, items = A.ratings(spark, sf), A.users(spark, sf), A.items(spark, sf)
+    n = lambda df: df.agg(F.count(F.lit(1)).cast("string").alias("n"))
+    info = None
+    for label, df in (("users", users), ("items", items), ("ratings", ratings)):
+        line = n(df).select(F.concat("n", F.lit(" " + label)).alias("value"))
+        info = line if info is None else info.unionByName(line)
+    used = items.select(F.explode(F.array(*[F.when(F.col(g), F.lit(f"{g}|{i}")) for i, g in enumerate(GENRES)])).alias("value"))
+    files = {"u.data": RF.render_ratings(ratings), "u.user": RF.render_users(users), "u.item": RF.render_items(items, GENRES),
+             "u.genre": used.filter("value is not null").distinct(), "u.occupation": users.select(F.col("occupation").alias("value")).filter(
+                 "value is not null").distinct(), "u.info": info}
+    for name, lines in files.items():
+        lines.write.text(f"{path}/{name}")
+    return path
+
+
+def q_lookup_files(spark, sf):
+    """The genre, occupation and count lists as text files, read by the file readers."""
+    path = _raw_files(spark, sf)
+    lines = lambda name: RF.read_lines(spark, f"{path}/{name}")
+    genres = RF.parse_lookup_names(lines("u.genre"), r"\|").select(F.lit("genre").alias("list"), "name", F.col("id").cast("bigint").alias("n"))
+    jobs = RF.parse_lookup_names(lines("u.occupation")).select(F.lit("occupation").alias("list"), "name", F.lit(None).cast("bigint").alias("n"))
+    info = RF.parse_info(lines("u.info")).select(F.lit("info").alias("list"), F.col("label").alias("name"), "n")
+    return genres.unionByName(jobs).unionByName(info)
+
+
+def q_landing(spark, sf):
+    """The tables' raw files landed twice; the second run finds whole copies and writes nothing."""
+    src, dst = _raw_files(spark, sf), _folder(spark, "landed")
+    first = sinks.land_raw(spark, src, dst).select("file", F.col("status").alias("first_run"))
+    again = sinks.land_raw(spark, src, dst)
+    return again.join(first, "file").select("file", "n_lines", "size", "checksum", "first_run", F.col("status").alias("second_run"))
+
+
 def q_users_from_file(spark, sf):
     """Users landed as a text file and read by the file reader."""
     path = _folder(spark, "raw")
@@ -177,7 +224,10 @@ QUERIES = {
     "M4_cluster_titles": q_cluster_titles,
     "S9_user_clusters_table": q_user_clusters_table,
     "S10_csv_export": q_csv_export,
+    "S10_similarity_block": q_similarity_block,
     "S4_users_from_file": q_users_from_file,
+    "S4_lookup_files": q_lookup_files,
+    "S5_landing": q_landing,
     "S11_saved_forest": q_saved_forest,
     "R7_forest_invariants": q_forest_invariants,
     "R8_importance_invariants": q_importance_invariants,
@@ -188,6 +238,18 @@ _DEFECTIVE = """defective AS (SELECT CASE WHEN item_id % 89 = 0 THEN NULL ELSE u
 _REASON = """CASE WHEN user_id IS NULL THEN 'user_id is null' WHEN item_id IS NULL THEN 'item_id is null'
   WHEN rating IS NULL THEN 'rating is null' WHEN rating NOT BETWEEN 1 AND 5 THEN 'rating out of range' END"""
 
+#: The lines of the raw files, as SQL.
+_LINES = f"""lines AS MATERIALIZED (
+  SELECT 'u.data' AS file, concat_ws(chr(9), user_id, item_id, rating, CAST(epoch(rated_at) AS BIGINT)) AS line FROM ratings
+  UNION ALL SELECT 'u.user', concat_ws('|', user_id, age, gender, occupation, zip_code) FROM users
+  UNION ALL SELECT 'u.item', concat_ws('|', item_id, title, coalesce(strftime(release_date, '%d-%b-%Y'), ''), '', '',
+    {", ".join(f'CAST("{g}" AS INTEGER)' for g in GENRES)}) FROM items
+  UNION ALL SELECT 'u.genre', line FROM ({" UNION ALL ".join(f"SELECT '{g}|{i}' AS line WHERE EXISTS (SELECT 1 FROM items WHERE \"{g}\")" for i, g in enumerate(GENRES))})
+  UNION ALL SELECT DISTINCT 'u.occupation', occupation FROM users WHERE occupation IS NOT NULL
+  UNION ALL SELECT 'u.info', concat(count(*), ' users') FROM users
+  UNION ALL SELECT 'u.info', concat(count(*), ' items') FROM items
+  UNION ALL SELECT 'u.info', concat(count(*), ' ratings') FROM ratings)"""
+
 ORACLE = {
     "Q1_domain_defects": with_ctes(f"""
 SELECT table_name, reason, count(*) AS n_rows FROM (
@@ -229,6 +291,18 @@ ORDER BY a.item_id LIMIT {SAMPLE_ITEMS}""", *M._BASE, *M.OK.kmeans_ctes([M.K_MAI
 SELECT i.item_id, count(r.rating) AS total_ratings, round(avg(r.rating), 6) AS avg_rating
 FROM items i LEFT JOIN ratings r ON r.item_id = i.item_id GROUP BY i.item_id"""),
     "S4_users_from_file": etl.ORACLE["S2_parse_users"],
+    "S4_lookup_files": with_ctes("""
+SELECT 'genre' AS list, split_part(line, '|', 1) AS name, CAST(split_part(line, '|', 2) AS BIGINT) AS n FROM lines WHERE file = 'u.genre'
+UNION ALL SELECT 'occupation', line, NULL FROM lines WHERE file = 'u.occupation'
+UNION ALL SELECT 'info', split_part(line, ' ', 2), CAST(split_part(line, ' ', 1) AS BIGINT) FROM lines WHERE file = 'u.info'""", _LINES),
+    "S5_landing": with_ctes("""
+SELECT file, count(*) AS n_lines, CAST(sum(strlen(line) + 1) AS BIGINT) AS size,
+       CAST(sum(CAST('0x' || substr(md5(line), 1, 15) AS BIGINT)) AS VARCHAR) AS checksum, 'uploaded' AS first_run, 'present' AS second_run
+FROM lines GROUP BY file""", _LINES),
+    "S10_similarity_block": with_ctes(f"""
+, few AS (SELECT *, row_number() OVER (ORDER BY user_id) AS nth FROM unitm ORDER BY user_id LIMIT {BLOCK_USERS})
+SELECT a.user_id, {", ".join(f"max(floor(({' + '.join(f'a.z{c} * b.z{c}' for c in range(M.K_MAIN))}) * 1e9 + 0.5) / 1e9) FILTER (WHERE b.nth = {j}) AS s{j}" for j in range(1, BLOCK_USERS + 1))}
+FROM few a JOIN few b ON true GROUP BY a.user_id""", *M._knn_ctes()),
     "S11_saved_forest": with_ctes("SELECT count(*) AS n, count(*) AS same FROM test", *M._BASE),
     "R7_forest_invariants": with_ctes("SELECT count(*) AS n, count(*) AS predicted, count(*) AS in_range FROM test", *M._BASE),
     "R8_importance_invariants": f"SELECT CAST({len(features.BASE_FEATURES) + len(GENRES)} AS BIGINT) AS n_features, 1.0 AS total, CAST(0 AS BIGINT) AS negative",

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from rankwell.operators import cluster, metrics, nearest, predict, recommend, similarity, splits
 from rankwell.plans import oracle_kmeans as OK
-from rankwell.plans.splitting import SEED, SQL_SPLIT, SQL_TEST, SQL_TRAIN, TEST_FRACTION
+from rankwell.plans.splitting import GRID_FRACTION, SEED, SQL_SAMPLE, SQL_SPLIT, SQL_TEST, SQL_TRAIN, TEST_FRACTION
 from rankwell.session import cut_lineage
 from rankwell.sources import adapter as A
 from rankwell.sources.adapter import with_ctes
@@ -187,13 +187,26 @@ def q_compare(spark, sf):
                             "knn": knn_predictions(spark, sf)})
 
 
-def grid(spark, sf):
-    """RMSE for every (K, N).  One side-by-side K-Means for all K; per K one
+def grid_sample(spark, sf):
+    """The tenth of the test rows that a cheap grid looks at."""
+    key = _key(spark, sf, "grid sample")
+    if key not in _memo:
+        _, test = split_frames(spark, sf)
+        _memo[key] = cut_lineage(splits.sample_fraction(test, GRID_FRACTION, SEED).select("user_id", "item_id", "rating"))
+    return _memo[key]
+
+
+def grid(spark, sf, sampled=False):
+    """RMSE for every (K, N) on the test rows or on their sample.  One side-by-side K-Means for all K; per K one
     top-max(N) neighbour search and one plan whose conditional sums give every N."""
     train, test = split_frames(spark, sf)
+    if sampled:
+        test = grid_sample(spark, sf)
     out = None
     for k in GRID_KS:
-        p = predict.predict_many(test, train, neighbours(spark, sf, k, max(GRID_NS), GRID_KS), GRID_NS)
+        found = (predict.top_neighbours(test, train, unit_profiles(spark, sf, k, GRID_KS), k, max(GRID_NS)) if sampled
+                 else neighbours(spark, sf, k, max(GRID_NS), GRID_KS))
+        p = predict.predict_many(test, train, found, GRID_NS)
         row = metrics.rmse_mae_many(p, GRID_NS).select(F.lit(k).alias("k"), "n", "rmse", "mae")
         out = row if out is None else out.unionByName(row)
     return out
@@ -203,6 +216,11 @@ def q_grid(spark, sf):
     return grid(spark, sf)
 
 
+def q_grid_sample(spark, sf):
+    """R4 on a tenth of the test rows: searches the neighbours of these rows only."""
+    return grid(spark, sf, sampled=True)
+
+
 def q_grid_pivot(spark, sf):
     """K rows × N columns of RMSE."""
     return (grid(spark, sf).groupBy("k").pivot("n", GRID_NS).agg(F.first("rmse"))
@@ -313,6 +331,7 @@ QUERIES = {
     "A14_error_bands": q_error_bands,
     "R9_compare_models": q_compare,
     "R4_grid_search": q_grid,
+    "R4_grid_search_sample": q_grid_sample,
     "A19_grid_pivot": q_grid_pivot,
     "A20_best_params": q_best_params,
 }
@@ -396,8 +415,13 @@ def _sweep_ctes():
     return km + wc + [OK.converged_sql(ORACLE_STEPS, "s"), f"sweep AS (SELECT w.k, w.wcss, c.converged FROM {name} w JOIN kms_conv c ON c.k = w.k)"]
 
 
-def _grid_ctes():
-    ctes, parts = list(_BASE), []
+#: The sample takes the place of the test rows.
+_SAMPLED = [SQL_SPLIT, SQL_TRAIN, SQL_TEST.replace("test AS (", "whole_test AS (", 1),
+            SQL_SAMPLE.replace("sample AS (", "test AS MATERIALIZED (", 1).replace("FROM test", "FROM whole_test")]
+
+
+def _grid_ctes(base=_BASE):
+    ctes, parts = list(base), []
     nmax = max(GRID_NS)
     means_done = False
     km, assign = OK.kmeans_ctes(GRID_KS, ORACLE_STEPS, tag="g")
@@ -519,6 +543,7 @@ SELECT model, rmse, mae,
        round(((SELECT rmse FROM m WHERE model = 'global_mean') - rmse) / (SELECT rmse FROM m WHERE model = 'global_mean') * 100, 6)
          AS improvement_pct FROM m""", _knn_ctes()),
     "R4_grid_search": _q("SELECT k, n, rmse, mae FROM grid", _grid_ctes()),
+    "R4_grid_search_sample": _q("SELECT k, n, rmse, mae FROM grid", _grid_ctes(_SAMPLED)),
     "A19_grid_pivot": _q("SELECT k, " + ", ".join(f"max(rmse) FILTER (WHERE n = {n}) AS rmse_n{n}" for n in GRID_NS)
                          + " FROM grid GROUP BY k", _grid_ctes()),
     "A20_best_params": _q("SELECT k, n, rmse, mae FROM grid ORDER BY rmse, k, n LIMIT 1", _grid_ctes()),

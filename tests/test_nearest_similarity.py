@@ -149,3 +149,17 @@ def test_runs_are_logged_once(spark, tmp_path):
     one, two = (experiments.get_or_create_experiment(spark, str(tmp_path), n) for n in ("e", "f"))
     assert one != two and experiments.get_or_create_experiment(spark, str(tmp_path), "e") == one
     assert sinks.read_table(spark, str(tmp_path / "experiments")).count() == 2
+
+
+def test_similarity_block_is_the_corner_of_the_matrix(spark):
+    from rankwell.operators import predict
+    z = {5: (1.0, 0.0), 2: (0.0, 1.0), 9: (0.6, 0.8), 7: (0.0, 0.0), 11: (1.0, 0.0)}
+    unit = spark.createDataFrame([(u, *v) for u, v in z.items()], "user_id long, z0 double, z1 double")
+    first = sorted(z)[:4]
+    got = {r.user_id: r for r in predict.similarity_block(unit, 2, 4).collect()}
+    assert sorted(got) == first
+    for u in first:
+        assert [got[u][f"s{j + 1}"] for j in range(4)] == [round(z[u][0] * z[v][0] + z[u][1] * z[v][1], 9) for v in first]
+    # Fewer users than the block has columns: the rest is null.
+    few = predict.similarity_block(unit.filter("user_id < 6"), 2, 4).collect()
+    assert len(few) == 2 and all(r.s3 is None and r.s4 is None for r in few)

@@ -31,6 +31,31 @@ def test_land_and_inventory(spark, tmp_path):
     assert sorted(r.size for r in inv) == sorted([os.path.getsize(src / "u.user"), os.path.getsize(src / "u.data")])
 
 
+def test_landing_skips_whole_copies_and_renews_others(spark, tmp_path):
+    src, dst = tmp_path / "src", tmp_path / "dst"
+    src.mkdir()
+    raw = "1|24|M|technician|85711\n2|53|F|caf\xe9|\n".encode("latin-1")
+    (src / "u.user").write_bytes(raw)
+    (src / "u.occupation").write_bytes(b"")
+    land = lambda: {r.file: r for r in sinks.land_raw(spark, str(src), str(dst)).collect()}
+    copy = lambda: b"".join(f.read_bytes() for f in sorted((dst / "users" / "u.user").glob("part-*")))
+    first = land()
+    assert first["u.user"].status == "uploaded" and (first["u.user"].n_lines, first["u.user"].size) == (2, len(raw)) and copy() == raw
+    assert first["u.occupation"].status == "uploaded" and first["u.occupation"].n_lines == 0
+    assert first["u.item"].status == "missing" and first["u.item"].size is None
+    parts = sorted(f.name for f in (dst / "users" / "u.user").iterdir())
+    again = land()
+    assert again["u.user"].status == again["u.occupation"].status == "present" and again["u.user"].checksum == first["u.user"].checksum
+    assert parts == sorted(f.name for f in (dst / "users" / "u.user").iterdir())
+    # The same number of bytes, another byte: the copy is renewed.
+    (src / "u.user").write_bytes(raw.replace(b"24", b"25"))
+    assert land()["u.user"].status == "uploaded" and copy() == raw.replace(b"24", b"25")
+    # What a killed run left under its own name is no copy.
+    (dst / "items" / "_landing-x").mkdir(parents=True)
+    (src / "u.item").write_bytes(b"1|a|||\n")
+    assert land()["u.item"].status == "uploaded" and land()["u.item"].status == "present"
+
+
 def test_result_table_is_idempotent(spark, tmp_path):
     recs = spark.createDataFrame([(1, 2, 4.5, 4.5, "v1", "kmeans"), (1, 3, 4.0, 4.0, "v1", "kmeans")],
                                  "user_id long, item_id long, predicted_rating double, recommendation_score double, "
