@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rankwell import session
-from rankwell.operators import cluster, experiments, ordering, recommend
+from rankwell.operators import cluster, experiments, lloyd_tiles, ordering, recommend
 
 
 def plain_lloyd(cells, k, max_iter=300):
@@ -84,6 +84,39 @@ def test_an_unfinished_run_says_so(spark):
     assert cluster.wcss(res).first().converged is False and res.converged[3] is False
 
 
+def test_lloyd_on_many_tiles_and_blocks(spark, monkeypatch):
+    monkeypatch.setattr(lloyd_tiles, "LEAST", 1000)
+    monkeypatch.setattr(lloyd_tiles, "TILE_RATINGS", 120)
+    monkeypatch.setattr(lloyd_tiles, "BLOCK_CELLS", 60)
+    rng = np.random.default_rng(5)
+    cells = [(u, i, int(rng.integers(1, 6))) for u in range(30) for i in range(35) if rng.random() < 0.3]
+    _, got = run(spark, cells, [2, 4])
+    assert all(got[k] == plain_lloyd(cells, k)[0] for k in (2, 4))
+
+
+def test_lloyd_with_null_keys_and_values(spark):
+    """Cells without a point count nowhere, null values are absent, a point that meets no user has no cluster."""
+    rng = np.random.default_rng(2)
+    cells = [(u, i, int(rng.integers(1, 6))) for u in range(20) for i in range(24) if rng.random() < 0.4]
+    odd = [(3, None, 5), (None, None, 4), (0, 1, None), (50, 2, None)]
+    res, got = run(spark, cells + odd, [3])
+    assert got[3] == plain_lloyd(cells, 3)[0] and res.converged[3]
+    _, got = run(spark, cells + [(None, 99, 3), (7, 98, None)], [3])
+    assert sorted(got[3]) == sorted({p for _, p, _ in cells}) + [98] and got[3][98] is None
+
+
+def test_a_step_sends_no_rating_through_a_shuffle(spark, monkeypatch):
+    """The rows that the jobs of a step shuffle are one for each pair of a tile and a block, not one for each rating."""
+    cells = spark.range(4000).selectExpr("id % 200 as dim_id", "id div 10 as point_id", "1 + id % 5 as v")
+    start = cells.groupBy("point_id").agg(F.sum("v").alias("nrm")).withColumn("a2", (F.col("point_id") % 2).cast("int"))
+    passes = lloyd_tiles.Passes(cells, start, [2], cluster._n)
+    state, sizes, _, sq = passes.step(None, [2], {}, {}, {})
+    assert sum(sizes.values()) == 400 and state.count() == passes.n_blocks and passes.tiles.count() == passes.n_tiles == 1
+    new, sizes, changes, _ = passes.step(state, [2], sizes, sq, {})
+    assert sum(sizes.values()) == 400 and set(changes) == {2} and new.count() == passes.n_blocks
+    passes.close()
+
+
 def test_user_clusters_keep_empty_profiles(spark):
     profile = spark.createDataFrame([(1, 0.0, 0.0), (2, 4.5, 1.0), (3, 4.0, 1.2), (4, 0.0, 0.1)], "user_id long, p0 double, p1 double")
     rows, steps, stable = recommend.user_clusters(profile, 2, 2)
