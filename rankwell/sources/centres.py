@@ -54,7 +54,8 @@ def assign(centres: tuple[DataFrame, DataFrame], cells: DataFrame, point: str =
               .select("dim_id", F.array(*[F.coalesce(F.col("m")[c], F.lit(0)) for c in range(k)]).alias("s")))
     t = (cells.select(F.col(point).alias("__point"), F.col(dim).alias("__dim"), F.col(value).alias("__v"))
          .filter("__point IS NOT NULL AND __v IS NOT NULL"))
-    wide = (t.join(by_dim, F.col("__dim") == F.col("dim_id"), "left").groupBy("__point")
+    # By shuffle: the centres have an array for each dimension, and a broadcast would bring them all to the driver.
+    wide = (t.join(by_dim.hint("merge"), F.col("__dim") == F.col("dim_id"), "left").groupBy("__point")
             .agg(F.sum(F.col("__v") * F.col("__v")).alias("nrm"),
                  *[F.sum(F.col("__v") * F.coalesce(F.get("s", F.lit(c)), F.lit(0))).alias(f"d{c}") for c in range(k)]))
     known = sizes.agg(F.array_sort(F.collect_list(F.struct("cluster", F.col("n").cast("double").alias("n"), "q")))).scalar()

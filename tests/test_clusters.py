@@ -191,3 +191,29 @@ def test_checkpoint_folder_is_required_off_local_masters():
 
     with pytest.raises(RuntimeError):
         session.ensure_checkpoint_dir(Session())
+
+
+def test_several_steps_are_one_job(spark):
+    """A chain of steps gives what single steps give, one after the other."""
+    rng = np.random.default_rng(7)
+    rows = [(int(u), int(p), int(rng.integers(1, 6))) for u in range(30) for p in range(40) if rng.random() < 0.3]
+    cells = spark.createDataFrame(rows, "dim_id long, point_id long, v long")
+    start = cells.groupBy("point_id").agg(F.sum(F.col("v") * F.col("v")).alias("nrm")).withColumn("a3", (F.col("point_id") % 3).cast("int"))
+    passes = lloyd_tiles.Passes(cells, start, [3], cluster._n)
+    chain, sizes, changes, sq = passes.step(None, [3], steps=3)
+    trail = passes.trail
+    state, single = passes.step(None, [3])[0], []
+    for _ in range(3):
+        state, one_sizes, one_changes, one_sq = passes.step(state, [3])
+        single.append(one_changes)
+    assert trail == single and (sizes, changes, sq) == (one_sizes, one_changes, one_sq)
+    assert sorted(passes.assignment(chain).collect()) == sorted(passes.assignment(state).collect())
+    passes.close()
+
+
+def test_ranks_in_few_groups_move_no_row_twice(spark):
+    """The rows are sorted once; the few pieces of groups come to them."""
+    df = spark.range(3000).selectExpr("id % 3 as g", "id as x")
+    ranked = ordering.rank_within(df, ["g"], ["x"], "r")
+    assert "SortMergeJoin" not in ranked._jdf.queryExecution().toString()
+    assert {(r.g, r.x): r.r for r in ranked.collect()} == {(i % 3, i): i // 3 + 1 for i in range(3000)}
