@@ -3,9 +3,9 @@
 Text is its UTF-8 bytes with white space collapsed, after ``ORDER - 1`` zero bytes, so every shorter sequence is the end of
 some ``ORDER``-gram and a gram is exactly one 64-bit integer.
 
-* Training counts come from trusted text: documents with a trusted label, at most ``TRUSTED_DOCS`` of them, about
-  equally many of each language (those with the smallest hash times the trusted documents of their
-  language, so a rare language keeps all of its own). This is the only bounded sample; its ids are broadcast.
+* Training counts come from trusted text: all documents with a trusted label. A caller may bound them by ``TRUSTED_DOCS``,
+  then about equally many of each language (those with the smallest hash times the trusted documents of their
+  language, so a rare language keeps all of its own).
 * Order ``ORDER`` has raw counts, lower orders have continuation counts (the number of different bytes in front), each a
   group-by of the order above. Modified Kneser-Ney gives each language and order three discounts from its
   counts of counts; every context's discounted mass goes to the next lower order, down to the uniform one.
@@ -14,12 +14,12 @@ some ``ORDER``-gram and a gram is exactly one 64-bit integer.
   fall back by joins with the contexts' masses, and the log-probabilities return to their block, where they
   come before its documents in one sorted stream. Texts travel compressed, and once.
 * A language's threshold comes from the quantiles of the scores (mean negative log2 probability per byte) of its trusted
-  documents, each scored by a model of the half of the sample it is not in: the third quartile plus ``SPREAD``
+  documents, each scored by a model of the half of them it is not in: the third quartile plus ``SPREAD``
   interquartile ranges. No share of junk moves it. A document above it, plus an allowance of ``NOISE / sqrt(bytes)``
   for short texts, is rejected. A language without such scores (one trusted document) takes the quantiles of all its documents.
 
-No table is keyed by language alone except one row per language of the trusted sample (at most
-``TRUSTED_DOCS``), which is broadcast. Memory per task is one block's table and one batch.
+No table is keyed by language alone except those with one row per language of the trusted documents. Memory per task is
+one block's table and one batch.
 
 Defined cases: null texts and texts without words have no score and are rejected; documents in a language
 (or with a null language) that has no trusted text have no score and are kept; a null id is scored like any other (but is
@@ -38,11 +38,12 @@ from rankwell.llm.frames import cut_lineage, forget, map_batches, read
 from rankwell.session import release
 
 ORDER = 5
-TRUSTED_DOCS = 20_000
+#: The most trusted documents that are used; None: all.
+TRUSTED_DOCS: int | None = None
 BLOCK_BYTES = 64 << 20
 SPREAD = 3.0
 NOISE = 8.0
-_PIECE = 2_000_000
+_PIECE = 6_000_000
 
 
 def grams(data: bytes | None) -> np.ndarray:
@@ -66,21 +67,20 @@ def _low(gram: Column, k: int) -> Column:
 
 
 def _counts(batch: pa.RecordBatch):
-    """(lang, block, gram, n) with n summed over pieces of the batch; columns lang, block, data."""
-    found: dict[tuple[int, int], list[np.ndarray]] = {}
+    """(block, gram, n) with n summed over pieces of the batch; columns block, data."""
+    found: dict[int, list[np.ndarray]] = {}
     size = 0
 
     def flush():
-        for (lang, block), parts in found.items():
+        for block, parts in found.items():
             gram, n = np.unique(np.concatenate(parts), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(gram), lang)), pa.array(np.full(len(gram), block)), pa.array(gram),
-                                              pa.array(n.astype(np.int64))], names=["lang", "block", "gram", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(gram), block)), pa.array(gram), pa.array(n.astype(np.int64))], names=["block", "gram", "n"])
         found.clear()
 
-    for lang, block, data in zip(*(c.to_pylist() for c in batch.columns)):
+    for block, data in zip(*(c.to_pylist() for c in batch.columns)):
         part = grams(data)
         if len(part):
-            found.setdefault((lang, block), []).append(part)
+            found.setdefault(block, []).append(part)
             size += len(part)
             if size > _PIECE:
                 yield from flush()
@@ -89,13 +89,13 @@ def _counts(batch: pa.RecordBatch):
 
 
 def _gram_counts(rows: DataFrame) -> DataFrame:
-    return map_batches(rows, _counts, "lang long, block long, gram long, n long")
+    return map_batches(rows, _counts, "block long, gram long, n long")
 
 
 def count_grams(rows: DataFrame, halves: DataFrame) -> DataFrame:
     """(lang, gram, c) of the halves in ``rows`` (lang, data) and, added up, of the languages ``of`` which they are halves."""
-    half = cut_lineage(_gram_counts(rows.select("lang", F.lit(0).cast("long").alias("block"), "data")).groupBy("lang", "gram").agg(F.sum("n").alias("c")))
-    whole = half.join(F.broadcast(halves), "lang").groupBy(F.col("of").alias("lang"), "gram").agg(F.sum("c").alias("c"))
+    half = cut_lineage(_gram_counts(rows.select("lang", "data")).groupBy(F.col("block").alias("lang"), "gram").agg(F.sum("n").alias("c")))
+    whole = half.join(halves, "lang").groupBy(F.col("of").alias("lang"), "gram").agg(F.sum("c").alias("c"))
     out = cut_lineage(half.unionByName(whole))
     release(half)
     return out
@@ -137,7 +137,7 @@ def probabilities(wanted: DataFrame, tables: list[DataFrame], masses: list[DataF
     """(lang, gram, logp) for the distinct (lang, gram) of ``wanted`` whose language has a model.
 
     From the shortest order up: each order sees the distinct ends of the wanted grams only, which are few for short ones."""
-    wanted = wanted.join(F.broadcast(tables[0].select("lang").distinct()), "lang", "left_semi")
+    wanted = wanted.join(cut_lineage(tables[0].select("lang").distinct()), "lang", "left_semi")
     lower = None
     for k in range(1, ORDER + 1):
         rows = wanted.select("lang", _low(F.col("gram"), k).alias("gram"))
@@ -203,36 +203,44 @@ def _pack(batch: pa.RecordBatch):
 
 
 def _sample(base: DataFrame, labels: DataFrame, trusted: str) -> DataFrame:
-    """(doc_id, lang, fold) of at most ``TRUSTED_DOCS`` trusted documents, dealt over their languages."""
+    """(doc_id, lang, fold) of the trusted documents; of at most ``TRUSTED_DOCS`` if that is set, dealt over their languages."""
     ids = labels.filter(trusted).filter(F.col("doc_id").isNotNull()).select("doc_id").distinct()
     rows = cut_lineage(base.select("doc_id", "lang").filter(F.col("lang") != F.xxhash64(F.lit(""))).join(ids, "doc_id").distinct())
+    fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(2)).alias("fold")
+    if TRUSTED_DOCS is None:
+        return cut_lineage(rows.select("doc_id", "lang", fold))
     # Languages beyond the largest ones count as if they had one document.
     sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(TRUSTED_DOCS)
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / (1 << 40) * F.coalesce("n", F.lit(1))
     chosen = rows.join(F.broadcast(sizes), "lang", "left").withColumn("place", place).orderBy("place", "doc_id", "lang").limit(TRUSTED_DOCS)
-    return cut_lineage(chosen.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(2)).alias("fold")))
+    return cut_lineage(chosen.select("doc_id", "lang", fold))
 
 
 def perplexity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                trusted: str = "quality = 1") -> DataFrame:
-    """Per row of ``docs``: doc_id, lang, n_bytes, score (bits per byte), held false; and a row with held true for each row of
-    the trusted sample, scored by the other half's model."""
+    """Per row of ``docs``: doc_id, lang, n_bytes, score (bits per byte), held false; and a row with held true for each trusted
+    row, scored by the other half's model."""
     lang = F.xxhash64(F.coalesce(F.col(lang_col).cast("string"), F.lit("")))
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), lang.alias("lang"), F.col(text_col).cast("binary").alias("data"))
     sample = _sample(base, labels, trusted)
-    known = cut_lineage(base.join(F.broadcast(sample), ["doc_id", "lang"]))
-    # A half of a language's sample is a language of its own to the model.
+    known = cut_lineage(base.join(sample, ["doc_id", "lang"]))
+    # A half of a language's trusted documents is a language of its own to the model.
     half = lambda fold: F.xxhash64("lang", F.lit("half"), fold)
-    halves = sample.select("lang").distinct().select(F.col("lang").alias("of"), F.explode(F.array(*[half(F.lit(i).cast("long")) for i in (0, 1)])).alias("lang"))
+    halves = cut_lineage(sample.select("lang").distinct().select(
+        F.col("lang").alias("of"), F.explode(F.array(*[half(F.lit(i).cast("long")) for i in (0, 1)])).alias("lang")))
     tables, masses = train(count_grams(known.select(half(F.col("fold")).alias("lang"), "data"), halves))
 
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0)).alias("n")).first()["n"]
     blocks = max(1, -(-size // BLOCK_BYTES))
-    # A block holds one language; which of its blocks a document is in depends on the id only.
+    # A block holds one language (pmod of a long: the salt is a long); which of its blocks a document is in depends on the id only.
     salt = F.pmod(F.xxhash64("doc_id", F.octet_length("data")), F.lit(blocks))
     held = known.select("doc_id", half(1 - F.col("fold")).alias("lang"), "data")
     dealt = base.unionByName(held).withColumn("block", F.xxhash64("lang", salt))
-    wanted = cut_lineage(_gram_counts(dealt.select("lang", "block", "data")).select("lang", "block", "gram").distinct())
+    # A block says its language: only the block goes through the shuffle with each gram.
+    langs = base.select("lang").unionByName(halves.select("lang")).distinct()
+    of_block = cut_lineage(langs.select("lang", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("salt"))
+                           .select("lang", F.xxhash64("lang", "salt").alias("block")))
+    wanted = cut_lineage(_gram_counts(dealt.select("block", "data")).select("block", "gram").distinct()).join(of_block, "block")
     forget(docs.sparkSession)
     logp = cut_lineage(probabilities(wanted.select("lang", "gram").distinct(), tables, masses))
     forget(docs.sparkSession, *tables, *masses)
@@ -241,7 +249,7 @@ def perplexity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     doc_rows = map_batches(dealt.select("doc_id", "lang", "block", "data"), _pack, "doc_id long, lang long, block long, packed binary").select(
         "block", F.lit(1).alias("kind"), "doc_id", "packed", "lang")
     stream = known_rows.unionByName(doc_rows).repartition("block").sortWithinPartitions("block", "kind")
-    scored = stream.mapInArrow(_score, "doc_id long, lang long, n_bytes long, score double").join(F.broadcast(halves), "lang", "left")
+    scored = stream.mapInArrow(_score, "doc_id long, lang long, n_bytes long, score double").join(halves, "lang", "left")
     return scored.select("doc_id", F.coalesce("of", "lang").alias("lang"), "n_bytes", "score", F.col("of").isNotNull().alias("held"))
 
 
@@ -251,9 +259,9 @@ def perplexity_filter(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id"
     scored = cut_lineage(perplexity(docs, labels, id_col, text_col, lang_col, trusted))
     of = lambda rows: F.percentile_approx(F.when(rows, F.col("score")), [0.25, 0.75], 10_000)
     quartile = scored.filter("score is not null").groupBy("lang").agg(F.coalesce(of(F.col("held")), of(~F.col("held"))).alias("q"))
-    # Only languages of the trusted sample have scores, so these are at most TRUSTED_DOCS rows.
-    limits = quartile.select("lang", (F.get("q", F.lit(1)) + SPREAD * (F.get("q", F.lit(1)) - F.get("q", F.lit(0)))).alias("threshold"))
-    out = scored.filter("not held").join(F.broadcast(limits), "lang", "left")
+    # Only languages of trusted documents have scores.
+    limits = cut_lineage(quartile.select("lang", (F.get("q", F.lit(1)) + SPREAD * (F.get("q", F.lit(1)) - F.get("q", F.lit(0)))).alias("threshold")))
+    out = scored.filter("not held").join(limits, "lang", "left")
     above = F.col("score") > F.col("threshold") + NOISE / F.sqrt(F.greatest("n_bytes", F.lit(1)))
     kept = (F.col("n_bytes") > 0) & ~F.coalesce(above, F.lit(False))
     return out.select("doc_id", "n_bytes", "score", "threshold", kept.alias("kept"))

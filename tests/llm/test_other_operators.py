@@ -232,6 +232,13 @@ def test_junk_does_not_move_the_threshold(spark, monkeypatch):
     assert len(sample) == 20 and {100, 101, 102} < {r.doc_id for r in sample}
 
 
+def test_all_trusted_documents_train_the_model(spark):
+    """The sample that a caller does not ask for is all of them, whatever their number."""
+    base = spark.range(25_000).selectExpr("id as doc_id", "xxhash64('en') as lang")
+    labels = base.selectExpr("doc_id", "1 as quality")
+    assert kneser_ney._sample(base, labels, "quality = 1").count() == 25_000
+
+
 # --- packing
 
 def brute_best_fit(items, capacity):
