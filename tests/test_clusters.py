@@ -117,6 +117,18 @@ def test_a_step_sends_no_rating_through_a_shuffle(spark, monkeypatch):
     passes.close()
 
 
+def test_no_two_tiles_wait_in_one_task(spark, monkeypatch):
+    """Tiles and blocks lie in partitions of their own, and there are no others."""
+    monkeypatch.setattr(lloyd_tiles, "LEAST", 100)
+    cells = spark.range(4000).selectExpr("id % 200 as dim_id", "id div 10 as point_id", "1 + id % 5 as v")
+    start = cells.groupBy("point_id").agg(F.sum("v").alias("nrm")).withColumn("a2", (F.col("point_id") % 2).cast("int"))
+    passes = lloyd_tiles.Passes(cells, start, [2], cluster._n)
+    for df, n in ((passes.tiles, passes.n_tiles), (passes.blocks, passes.n_blocks)):
+        held = df.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+        assert n > 1 and df.rdd.getNumPartitions() == n == len(held) and {r["count"] for r in held} == {1}
+    passes.close()
+
+
 def test_user_clusters_keep_empty_profiles(spark):
     profile = spark.createDataFrame([(1, 0.0, 0.0), (2, 4.5, 1.0), (3, 4.0, 1.2), (4, 0.0, 0.1)], "user_id long, p0 double, p1 double")
     rows, steps, stable = recommend.user_clusters(profile, 2, 2)
