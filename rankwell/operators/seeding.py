@@ -7,7 +7,8 @@ weighs as many points as are nearest to it, and the heaviest one, then always th
 so far, become the k seeds (ties: the smaller id).
 
 The driver sees the candidates only: about ``1 + rounds · OVERSAMPLE · k`` a start, and the distances between those of a start.
-Distances of all points are found as in a Lloyd step, to the candidates that are new in a round.
+Distances of all points to the candidates that are new in a round come from the ratings of the users who rated one of them:
+no other rating is shuffled.
 
 Start 0 is the modulo rule of ``cluster.lloyd``, so the best start is never worse than it.  Every start is a run of the same
 Lloyd passes, numbered ``cluster.run(start, k)``.
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankwell.operators import cluster
-from rankwell.operators.cluster import _a, _nearest, _s, run
+from rankwell.operators.cluster import _a, run
 from rankwell.session import cut_lineage, release
 
 ROUNDS = 4
@@ -36,16 +37,26 @@ def _closest(t: DataFrame, norms: DataFrame, picks: dict[int, list]) -> DataFram
     """point_id and, per start, the struct ``b{start}`` (d, i): the quantized squared distance to the nearest picked point of the
     start and its place in the list."""
     dtype = dict(t.dtypes)["v"]
-    runs = {s: run(s, len(ids)) for s, ids in picks.items()}
-    centres = t.groupBy("dim_id").agg(*[
-        F.sum(F.when(F.col("point_id") == p, F.col("v")).otherwise(F.lit(0))).cast(dtype).alias(_s(runs[s], i))
-        for s, ids in picks.items() for i, p in enumerate(ids)])
     wanted = sorted({p for ids in picks.values() for p in ids})
     square = {r["point_id"]: r["nrm"] for r in norms.filter(F.col("point_id").isin(wanted)).collect()}
-    places = [(runs[s], i, p) for s, ids in picks.items() for i, p in enumerate(ids)]
-    near = _nearest(t, centres, norms, list(runs.values()), {(r, i): 1 for r, i, _ in places}, {(r, i): square[p] for r, i, p in places})
-    return near.select("point_id", *[F.struct(F.col(f"b{r}.d").alias("d"), F.col(f"b{r}.j").alias("i")).alias(f"b{s}")
-                                     for s, r in runs.items()])
+    # Only ratings of users who rated a picked point are joined and shuffled; a point that shares no user with it has the product 0.
+    picked = t.filter(F.col("point_id").isin(wanted) & F.col("dim_id").isNotNull()).groupBy("dim_id", F.col("point_id").alias("pick")).agg(
+        F.coalesce(F.sum("v"), F.lit(0)).cast(dtype).alias("x"))
+    # A point has at most one product for each of the few picked points.
+    dots = (t.join(picked, "dim_id").groupBy("point_id", "pick").agg(F.sum(F.col("v") * F.col("x")).cast(dtype).alias("dot"))
+            .filter("point_id is not null and dot is not null").groupBy("point_id").agg(F.map_from_entries(F.collect_list(F.struct("pick", "dot"))).alias("dots")))
+    wide = norms.filter("met").join(dots, "point_id", "left")
+    one = t.sparkSession.createDataFrame(
+        [tuple([(p, None if square[p] is None else float(square[p])) for p in ids] for ids in picks.values())],
+        ", ".join(f"s{s} array<struct<p:{dict(t.dtypes)['point_id']},q:double>>" for s in picks))
+    wide = wide.withColumn("__s", one.select(F.struct("*")).scalar())
+
+    def to(c: F.Column) -> F.Column:
+        dot = F.when(F.col("valued"), F.coalesce(F.try_element_at("dots", c["p"]), F.lit(0).cast(dtype)))
+        return cluster.distance(F.col("nrm"), dot, F.lit(1.0), c["q"])
+    far = wide.select("point_id", *[F.transform(F.col(f"__s.s{s}"), to).alias(f"b{s}") for s in picks])
+    best = far.select("point_id", *[cluster.nearest(F.col(f"b{s}")).alias(f"b{s}") for s in picks])
+    return best.select("point_id", *[F.struct(F.col(f"b{s}.d").alias("d"), F.col(f"b{s}.j").alias("i")).alias(f"b{s}") for s in picks])
 
 
 def _named(near: DataFrame, picks: dict[int, list]) -> DataFrame:
@@ -119,8 +130,11 @@ def _reduce(t: DataFrame, norms: DataFrame, weights: dict[int, dict], k: int) ->
 
 def _cells(cells: DataFrame, point: str, dim: str, value: str) -> tuple[DataFrame, DataFrame]:
     dtype = "bigint" if dict(cells.dtypes)[value] in ("tinyint", "smallint", "int", "bigint") else "double"
-    t = cells.select(F.col(point).alias("point_id"), F.col(dim).alias("dim_id"), F.col(value).cast(dtype).alias("v")).repartition("dim_id").persist()
-    return t, cut_lineage(t.groupBy("point_id").agg(F.sum(F.col("v") * F.col("v")).cast(dtype).alias("nrm")))
+    t = cells.select(F.col(point).alias("point_id"), F.col(dim).alias("dim_id"), F.col(value).cast(dtype).alias("v")).persist()
+    known = F.col("dim_id").isNotNull()
+    # met: the point has a dimension; valued: it has a value there.
+    return t, cut_lineage(t.groupBy("point_id").agg(F.sum(F.col("v") * F.col("v")).cast(dtype).alias("nrm"), (F.count_if(known) > 0).alias("met"),
+                                                    (F.count(F.when(known, F.col("v"))) > 0).alias("valued")).withColumn("met", F.col("met") & F.col("point_id").isNotNull()))
 
 
 def seeds(cells: DataFrame, k: int, starts: int = 3, rounds: int = ROUNDS, seed: int = 42, point: str = "item_id",

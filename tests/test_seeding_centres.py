@@ -120,3 +120,16 @@ def test_saved_centres_give_the_same_clusters_and_take_new_items(spark, tmp_path
         assert math.isclose(got[i]["distance"], math.sqrt(min(far.values())), abs_tol=1e-3)
         assert math.isclose(far[got[i]["cluster"]], min(far.values()), abs_tol=1e-6)
     assert centres.assign(saved, spark.createDataFrame([], CELLS)).count() == 0
+
+
+def test_only_ratings_that_meet_a_pick_are_shuffled(spark):
+    """The ratings are not dealt by user; points without a common user, null users and null values keep their distances."""
+    rows = [(1, 10, 4), (2, 10, 3), (2, 11, 5), (3, 12, 2), (None, 13, 5), (4, 14, None), (None, 15, 2), (5, 15, 1)]
+    t, norms = seeding._cells(spark.createDataFrame(rows, CELLS), "item_id", "user_id", "rating")
+    assert "Exchange" not in t._jdf.queryExecution().executedPlan().toString()
+    near = {r.point_id: (r.b1, r.b2) for r in seeding._closest(t, norms, {1: [10, 12], 2: [15]}).collect()}
+    t.unpersist()
+    d = lambda x: x * 10**6
+    assert sorted(near) == [10, 11, 12, 14, 15]
+    assert near[10] == ((0, 0), (d(30), 0)) and near[11] == ((d(20), 0), (d(30), 0)) and near[12] == ((0, 1), (d(9), 0))
+    assert near[14][0].d is None and near[15] == ((d(9), 1), (d(8), 0))
