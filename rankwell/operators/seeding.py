@@ -40,8 +40,9 @@ def _closest(t: DataFrame, norms: DataFrame, picks: dict[int, list]) -> DataFram
     wanted = sorted({p for ids in picks.values() for p in ids})
     square = {r["point_id"]: r["nrm"] for r in norms.filter(F.col("point_id").isin(wanted)).collect()}
     # Only ratings of users who rated a picked point are joined and shuffled; a point that shares no user with it has the product 0.
-    picked = t.filter(F.col("point_id").isin(wanted) & F.col("dim_id").isNotNull()).groupBy("dim_id", F.col("point_id").alias("pick")).agg(
-        F.coalesce(F.sum("v"), F.lit(0)).cast(dtype).alias("x"))
+    # They are written first: where they are few, their size lets all other ratings stay where they are.
+    picked = cut_lineage(t.filter(F.col("point_id").isin(wanted) & F.col("dim_id").isNotNull()).groupBy("dim_id", F.col("point_id").alias("pick")).agg(
+        F.coalesce(F.sum("v"), F.lit(0)).cast(dtype).alias("x")))
     # A point has at most one product for each of the few picked points.
     dots = (t.join(picked, "dim_id").groupBy("point_id", "pick").agg(F.sum(F.col("v") * F.col("x")).cast(dtype).alias("dot"))
             .filter("point_id is not null and dot is not null").groupBy("point_id").agg(F.map_from_entries(F.collect_list(F.struct("pick", "dot"))).alias("dots")))
