@@ -1,8 +1,10 @@
 """K-Means, recommendations, runs and sessions on small fixtures of their own."""
 
 import itertools
+import pickle
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -229,3 +231,44 @@ def test_ranks_in_few_groups_move_no_row_twice(spark):
     ranked = ordering.rank_within(df, ["g"], ["x"], "r")
     assert "SortMergeJoin" not in ranked._jdf.queryExecution().toString()
     assert {(r.g, r.x): r.r for r in ranked.collect()} == {(i % 3, i): i // 3 + 1 for i in range(3000)}
+
+
+def test_sums_carried_on_are_those_of_a_whole_pass(spark, monkeypatch):
+    rnd = np.random.default_rng(11)
+    seen = {(int(u), int(i)): int(r) for u, i, r in zip(rnd.integers(0, 60, 900), rnd.integers(0, 80, 900), rnd.integers(1, 6, 900))}
+    rows = [(u, i, r) for (u, i), r in seen.items()] + [(None, 3, 4), (None, 500, 2), (7, 501, None)]
+    cells = spark.createDataFrame(rows, "user_id long, item_id long, rating int")
+    got = []
+    for calm in (0, 1, 10**9):
+        monkeypatch.setattr(lloyd_tiles, "CALM", calm)
+        monkeypatch.setattr(lloyd_tiles, "LEAST", 400)
+        res = cluster.lloyd(cells, [2, 5, 9])
+        got.append((sorted(map(tuple, res.assign.collect())), res.sizes, res.sq, res.iterations, res.converged, cluster.wcss(res).collect()))
+    assert got[0] == got[1] == got[2]
+
+
+def test_moved_points_change_only_what_their_dimensions_have():
+    rnd = np.random.default_rng(5)
+    cells = sorted({(int(d), int(p)) for d, p in zip(rnd.integers(0, 20, 150), rnd.integers(0, 30, 150))})
+    v = rnd.integers(1, 6, len(cells))
+    points = sorted({p for _, p in cells})
+    table = pa.table({"tile": [0] * len(cells), "block": [0] * len(cells), "point": [p for _, p in cells], "dim": [d for d, _ in cells], "v": v})
+    own = pickle.loads(lloyd_tiles._build_tile(table, np.int64).column("payload")[0].as_py())
+
+    def whole(label):
+        s = np.zeros((20, 3), np.int64)
+        for (d, p), x in zip(cells, v):
+            s[d, label[points.index(p)]] += x
+        dots = np.zeros((len(points), 3), np.int64)
+        for (d, p), x in zip(cells, v):
+            dots[points.index(p)] += x * s[d]
+        return (s * s).sum(axis=0), dots
+
+    old = rnd.integers(0, 3, len(points)).astype(np.int32)
+    new = old.copy()
+    new[[2, 9]] = (new[[2, 9]] + 1) % 3
+    squares, hit, change = lloyd_tiles._moved(own, own["v"].astype(np.int64), new, np.array([2, 9]), old[[2, 9]], 3)
+    (q_old, dots_old), (q_new, dots_new) = whole(old), whole(new)
+    assert squares == (q_new - q_old).tolist() and len(hit) < len(points)
+    dots_old[hit] += change
+    assert (dots_old == dots_new).all()
