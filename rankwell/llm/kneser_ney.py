@@ -9,10 +9,10 @@ some ``ORDER``-gram and a gram is exactly one 64-bit integer.
 * Order ``ORDER`` has raw counts, lower orders have continuation counts (the number of different bytes in front), each a
   group-by of the order above. Modified Kneser-Ney gives each language and order three discounts from its
   counts of counts; every context's discounted mass goes to the next lower order, down to the uniform one.
-* Scoring covers every document whole. Documents are dealt into blocks; each block's distinct grams (what
-  is gathered from the corpus: it grows with it) are joined with the sharded probability tables, unseen grams
+* Scoring covers every document whole. Documents are dealt into blocks; the texts of a block meet in
+  one task, and its distinct grams are joined with the sharded probability tables, unseen grams
   fall back by joins with the contexts' masses, and the log-probabilities return to their block, where they
-  come before its documents in one sorted stream. Texts travel compressed, and once.
+  come before its documents in one sorted stream. Texts travel compressed, once for each.
 * A language's threshold comes from the quantiles of the scores (mean negative log2 probability per byte) of its trusted
   documents, each scored by a model of the half of them it is not in: the third quartile plus ``SPREAD``
   interquartile ranges. No share of junk moves it. A document above it, plus an allowance of ``NOISE / sqrt(bytes)``
@@ -44,6 +44,7 @@ BLOCK_BYTES = 64 << 20
 SPREAD = 3.0
 NOISE = 8.0
 _PIECE = 6_000_000
+_ROWS = 1_000_000
 
 
 def grams(data: bytes | None) -> np.ndarray:
@@ -88,6 +89,29 @@ def _counts(batch: pa.RecordBatch):
     yield from flush()
 
 
+def _block_grams(batches):
+    """The distinct grams of each block, from its packed texts (columns block, packed) one after the other."""
+    z = zstandard.ZstdDecompressor()
+    now, held, parts, size = None, np.zeros(0, np.int64), [], 0
+
+    def rows(block, gram):
+        for lo in range(0, len(gram), _ROWS):
+            part = gram[lo:lo + _ROWS]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), block)), pa.array(part)], names=["block", "gram"])
+
+    for batch in batches:
+        for block, packed in zip(batch.column(0).to_pylist(), batch.column(1)):
+            if block != now:
+                yield from rows(now, np.unique(np.concatenate([held, *parts])))
+                now, held, parts, size = block, np.zeros(0, np.int64), [], 0
+            part = grams(z.decompress(packed.as_py())) if packed.is_valid else held[:0]
+            parts.append(part)
+            size += len(part)
+            if size > _PIECE:
+                held, parts, size = np.unique(np.concatenate([held, *parts])), [], 0
+    yield from rows(now, np.unique(np.concatenate([held, *parts])))
+
+
 def _gram_counts(rows: DataFrame) -> DataFrame:
     return map_batches(rows, _counts, "block long, gram long, n long")
 
@@ -224,6 +248,8 @@ def perplexity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), lang.alias("lang"), F.col(text_col).cast("binary").alias("data"))
     sample = _sample(base, labels, trusted)
     known = cut_lineage(base.join(sample, ["doc_id", "lang"]))
+    # The join's shuffle files, which hold the texts, are not needed any more.
+    forget(docs.sparkSession)
     # A half of a language's trusted documents is a language of its own to the model.
     half = lambda fold: F.xxhash64("lang", F.lit("half"), fold)
     halves = cut_lineage(sample.select("lang").distinct().select(
@@ -240,13 +266,16 @@ def perplexity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     langs = base.select("lang").unionByName(halves.select("lang")).distinct()
     of_block = cut_lineage(langs.select("lang", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("salt"))
                            .select("lang", F.xxhash64("lang", "salt").alias("block")))
-    wanted = cut_lineage(_gram_counts(dealt.select("block", "data")).select("block", "gram").distinct()).join(of_block, "block")
+    # The texts come to their block, which takes less room than a row for each gram of each batch.
+    packed = map_batches(dealt.select("doc_id", "lang", "block", "data"), _pack, "doc_id long, lang long, block long, packed binary")
+    of_text = packed.select("block", "packed").repartition("block").sortWithinPartitions("block").mapInArrow(_block_grams, "block long, gram long")
+    wanted = cut_lineage(of_text).join(of_block, "block")
     forget(docs.sparkSession)
     logp = cut_lineage(probabilities(wanted.select("lang", "gram").distinct(), tables, masses))
     forget(docs.sparkSession, *tables, *masses)
     known_rows = map_batches(wanted.join(logp, ["lang", "gram"]).select("block", "gram", "logp"), _pack_grams, "block long, packed binary").select(
         "block", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("doc_id"), "packed", F.lit(None).cast("long").alias("lang"))
-    doc_rows = map_batches(dealt.select("doc_id", "lang", "block", "data"), _pack, "doc_id long, lang long, block long, packed binary").select(
+    doc_rows = packed.select(
         "block", F.lit(1).alias("kind"), "doc_id", "packed", "lang")
     stream = known_rows.unionByName(doc_rows).repartition("block").sortWithinPartitions("block", "kind")
     scored = stream.mapInArrow(_score, "doc_id long, lang long, n_bytes long, score double").join(halves, "lang", "left")

@@ -6,7 +6,9 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 
 import corpus_pipeline
 from rankwell.llm import embedding_dedup, html_text, kneser_ney, packing, sentencepiece_fst, warc
@@ -435,3 +437,15 @@ def test_pipeline_near_copies_by_five_words(spark, tmp_path):
     docs = spark.createDataFrame(rows, DOC)
     near = dict(corpus_pipeline.STAGES)["ngram_join"]
     assert {r.doc_id for r in near(spark, docs, str(tmp_path)).collect()} == {1, 11, 12}
+
+
+def test_grams_of_a_block_are_told_once():
+    """A block's texts come in several batches; each of its grams leaves the task once, and blocks are kept apart."""
+    z = zstandard.ZstdCompressor()
+    texts = [(1, b"abc abc"), (1, b"abc abc"), (1, None), (2, b"abc abc"), (2, b""), (2, b"xyz")]
+    batches = [pa.RecordBatch.from_arrays([pa.array([b], pa.int64()), pa.array([None if t is None else z.compress(t)], pa.binary())],
+                                          names=["block", "packed"]) for b, t in texts]
+    got = [(b, g) for out in kneser_ney._block_grams(iter(batches)) for b, g in zip(*(c.to_pylist() for c in out.columns))]
+    want = {(b, int(g)) for b, t in texts for g in kneser_ney.grams(t)}
+    assert len(got) == len(set(got)) and set(got) == want
+    assert list(kneser_ney._block_grams(iter([]))) == []
