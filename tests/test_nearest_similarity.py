@@ -103,6 +103,40 @@ def test_item_similarity_equals_brute_force(spark, threshold):
         similarity.item_similarity(spark.createDataFrame(rows, "user_id long, item_id long, rating int"), 0.0)
 
 
+def _heavy_rows(n_items=120):
+    """Three users who rated all items, and many who rated a few."""
+    rng = random.Random(11)
+    rows = {(u, i): rng.randint(1, 2) for u in range(3) for i in range(n_items)}
+    for u in range(10, 210):
+        rows.update({(u, i): rng.randint(1, 5) for i in rng.sample(range(n_items), 6)})
+    return [(u, i, r) for (u, i), r in rows.items()]
+
+
+def _brute(rows, threshold):
+    vectors = {}
+    for u, i, r in rows:
+        vectors.setdefault(i, {})[u] = r
+    out = {}
+    for i, v in vectors.items():
+        for j, w in vectors.items():
+            if i < j:
+                score = sum(r * w.get(u, 0) for u, r in v.items()) / np.sqrt(float(sum(r * r for r in v.values())) * sum(r * r for r in w.values()))
+                if score >= threshold:
+                    out[i, j] = round(float(score), 6)
+    return out
+
+
+def test_item_similarity_in_rounds_is_the_same(spark, monkeypatch):
+    rows = _heavy_rows()
+    df = spark.createDataFrame(rows, "user_id long, item_id long, rating int")
+    monkeypatch.setattr(similarity, "LEAST_PAIRS", 500)
+    monkeypatch.setattr(similarity, "ROUND_PAIRS", 1)
+    shares = []
+    monkeypatch.setattr(similarity, "sweep", lambda s: shares.append(1))
+    got = {(r.item_id_1, r.item_id_2): r.similarity_score for r in similarity.item_similarity(df, 0.4).collect()}
+    assert got == _brute(rows, 0.4) and got and len(shares) > 2
+
+
 def test_similarities_are_written_once(spark, tmp_path):
     rows = spark.createDataFrame([(1, 10, 5), (1, 11, 4), (2, 10, 3), (2, 11, 3), (2, 12, 1)], "user_id long, item_id long, rating int")
     found = similarity.item_similarity(rows, 0.1)
