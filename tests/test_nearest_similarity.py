@@ -1,6 +1,7 @@
 """Nearest users, the knn and hybrid lists, item similarities and null groups against brute force."""
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -80,6 +81,28 @@ def test_knn_and_hybrid_lists(spark):
     assert [(r.item_id, r.predicted_rating) for r in both] == [(13, 4.5), (11, round((0.9 * 5 + 0.5 * 3) / 1.4, 6)), (15, 3.0)]
 
 
+def test_knn_lists_equal_brute_force_and_travel_as_lists(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "PIECE", 7)
+    rng = random.Random(5)
+    rows = [(u, i, rng.randint(1, 5)) for u in range(12) for i in rng.sample(range(60), 3 * u + 1)] + [(None, 1, 5), (3, None, 4), (5, None, 2)]
+    pairs = [(u, v, round(rng.random(), 3), k + 1) for u in [*range(11), None] for k, v in enumerate(rng.sample([*range(12), 99], 4)) if u != v]
+    train = spark.createDataFrame(rows, "user_id long, item_id long, rating int").repartition(3)
+    near = spark.createDataFrame(pairs, "user_id long, neighbour_id long, sim double, rank int")
+    out = nearest.recommend_knn(train, near, 5)
+    seen = {(u, i) for u, i, _ in rows if u is not None and i is not None}
+    sums = {}
+    for u, v, sim, _ in pairs:
+        for w, i, r in rows:
+            if w == v and (u, i) not in seen:
+                s = sums.setdefault(u, {}).setdefault(i, [0, 0])
+                s[0] += int(np.floor(sim * 1e9 + 0.5)) * r
+                s[1] += int(np.floor(sim * 1e9 + 0.5))
+    want = {(u, k): (i, round(s / n, 6)) for u, items in sums.items()
+            for k, (i, (s, n)) in enumerate(sorted(items.items(), key=lambda x: (-x[1][0], -1 if x[0] is None else x[0]))[:5], 1)}
+    assert {(r.user_id, r["rank"]): (r.item_id, r.predicted_rating) for r in out.collect()} == want
+    assert not re.search(r"hashpartitioning\(user_id#\w+, item_id#", out._jdf.queryExecution().executedPlan().toString())
+
+
 @pytest.mark.parametrize("threshold", [0.05, 0.3, 0.7, 1.0])
 def test_item_similarity_equals_brute_force(spark, threshold):
     rng = random.Random(3)
