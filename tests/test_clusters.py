@@ -272,3 +272,13 @@ def test_moved_points_change_only_what_their_dimensions_have():
     assert squares == (q_new - q_old).tolist() and len(hit) < len(points)
     dots_old[hit] += change
     assert (dots_old == dots_new).all()
+
+
+def test_salted_copies_are_not_broadcast(spark):
+    """A table that looks small before its copies are made must not go through the driver with all of them."""
+    train = spark.createDataFrame([(u, i, 1 + (u + i) % 5) for u in range(6) for i in range(20) if (u * i) % 3], "user_id long, item_id long, rating int")
+    clusters = spark.createDataFrame([(i, i % 2) for i in range(20)], "item_id long, cluster int")
+    found = recommend.recommend_top_n(train, clusters, cluster.user_cluster_profile(train, clusters, 2), 2, 3)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.split("\n") if "Join" in line and "slot#" in line]
+    assert joins and all("SortMergeJoin" in line for line in joins)
